@@ -55,5 +55,9 @@ def contiguous(df: DataFrame, key: str, order: Sequence[str], partitions: int |
 
 
 def limit_writers(df: DataFrame, writers: int) -> DataFrame:
-    """At most ``writers`` concurrent tasks against an external system."""
-    return df.coalesce(writers)
+    """Rows in ``writers`` tasks, the most that may write to an external system at once.
+
+    They are shuffled there: merging partitions without a shuffle would also run
+    everything before the write in that few tasks.
+    """
+    return df.repartition(writers)

@@ -18,8 +18,8 @@ from tideline.operators.apply import (
     rejected_updates,
     unknown_ids,
 )
-from tideline.operators.metrics import sink_counters
-from tideline.sinks.targets import DeadLetterTable, RecordTable, write_batch
+from tideline.operators.metrics import tagged
+from tideline.sinks.targets import DeadLetterTable, ExternalTable, RecordTable, write_batch
 from tideline.specs import ApplySpec
 
 
@@ -31,37 +31,54 @@ class PartialFailure(RuntimeError):
 class Changes:
     """What a batch does to its target."""
 
-    applied: DataFrame
     inserts: DataFrame
     patches: DataFrame
     failed: DataFrame
 
 
-def plan_changes(parsed: DataFrame, ids: DataFrame, spec: ApplySpec) -> Changes:
-    """Split a parsed batch into inserts, one folded patch per known id, and failures.
+def missing_ids(parsed: DataFrame, ids: DataFrame) -> DataFrame:
+    """Ids that updates of a parsed batch name and neither the target nor its new rows hold.
 
-    New rows count as known, so an update may follow its insert in one batch.
+    New rows count, so an update may follow its insert in one batch.
     """
-    inserts = new_rows(parsed)
+    return unknown_ids(parsed.where(F.col("operation") == "update"), ids, new_rows(parsed))
+
+
+def plan_changes(parsed: DataFrame, unknown: DataFrame, spec: ApplySpec) -> Changes:
+    """Split a parsed batch into inserts, one folded patch per known id, and failures."""
     updates = parsed.where(F.col("operation") == "update")
-    unknown = unknown_ids(updates, ids, inserts)
-    patches = fold_patches(updates, fields=spec.fields).join(unknown, "id", "left_anti")
-    failed = parsed.where(F.col("operation") == "reject").unionByName(rejected_updates(updates, unknown))
-    applied = parsed.where(F.col("operation") == "insert").unionByName(updates.join(unknown, "id", "left_anti"))
-    return Changes(applied, inserts, patches, failed)
+    rejects = parsed.where(F.col("operation") == "reject")
+    return Changes(
+        inserts=new_rows(parsed),
+        patches=fold_patches(updates, fields=spec.fields).join(unknown, "id", "left_anti"),
+        failed=rejects.unionByName(rejected_updates(updates, unknown)),
+    )
 
 
 def apply_log(log: DataFrame, target: DataFrame, spec: ApplySpec) -> tuple[DataFrame, DataFrame]:
     """The target after ``log`` and the messages that failed, as plans without side effects."""
-    changes = plan_changes(parse_log(log, spec.id_field), target.select("id"), spec)
+    parsed = parse_log(log, spec.id_field)
+    changes = plan_changes(parsed, missing_ids(parsed, target), spec)
     rows = target.unionByName(changes.inserts)
     return merge_patches(rows, changes.patches), changes.failed
 
 
+def batch_counters(parsed: DataFrame, failed: DataFrame, table: str) -> DataFrame:
+    """Counters of one batch: messages by operation less those that failed, and failures."""
+    every = parsed.where(F.col("operation") != "reject").groupBy("operation").agg(F.count("*").alias("n"))
+    lost = failed.where(F.col("operation") != "reject").groupBy("operation").agg((-F.count("*")).alias("n"))
+    named = F.lit(table).alias("table")
+    applied = every.unionByName(lost).groupBy("operation").agg(F.sum("n").alias("value")).select(named, "*")
+    errors = failed.groupBy(named, F.lit("write").alias("error_type")).agg(F.count("*").alias("value"))
+    return tagged("sink_records_total", applied, "operation").unionByName(
+        tagged("sink_errors_total", errors, "error_type")
+    )
+
+
 def apply_batch(
     log: DataFrame,
     batch_id: int,
-    target: RecordTable,
+    target: RecordTable | ExternalTable,
     spec: ApplySpec,
     *,
     now: datetime,
@@ -74,25 +91,23 @@ def apply_batch(
     and the batch counts as done.  Without it the rest is applied and the batch
     raises, to be read again; its writes then replace themselves.
     """
-    parsed = parse_log(log, spec.id_field).persist(StorageLevel.MEMORY_AND_DISK)
+    held = [parse_log(log, spec.id_field).persist(StorageLevel.MEMORY_AND_DISK)]
+    parsed = held[0]
     try:
-        changes = plan_changes(parsed, target.ids(before=batch_id), spec)
-        target.write_changes(changes.inserts, changes.patches, batch_id, spec.write_parallelism)
+        unknown = missing_ids(parsed, target.ids(before=batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(unknown)
+        changes = plan_changes(parsed, unknown, spec)
+        target.write_changes(changes.inserts, changes.patches, batch_id)
         failed = changes.failed.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            failures = failed.count()
-            if dead is not None:
-                dead.write(dead_letters(failed, spec.table, now), batch_id)
-            if metrics_path is not None:
-                named = F.lit(spec.table).alias("table")
-                counts = sink_counters(
-                    changes.applied.select(named, "operation"), failed.select(named, F.lit("write").alias("error_type"))
-                )
-                write_batch(counts, metrics_path, batch_id)
-        finally:
-            failed.unpersist()
+        held.append(failed)
+        failures = failed.count()
+        if dead is not None:
+            dead.write(dead_letters(failed, spec.table, now), batch_id)
+        if metrics_path is not None:
+            write_batch(batch_counters(parsed, failed, spec.table), metrics_path, batch_id)
     finally:
-        parsed.unpersist()
+        for df in held:
+            df.unpersist()
     if failures and not spec.commit_on_partial_failure:
         raise PartialFailure(f"{failures} messages of batch {batch_id} could not be applied to {spec.table}")
     return failures

@@ -6,13 +6,16 @@ left, so a replayed batch changes nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators.apply import fold_patches, merge_patches
+from tideline.operators.messages import limit_writers
 from tideline.sinks.logs import read_or_empty
 from tideline.sources.progress import ProgressStore
-from tideline.specs import Progress
+from tideline.specs import DEFAULT_WRITE_PARALLELISM, Progress
 
 RECORD_SCHEMA = "id string, rec map<string,string>"
 CHANGE_SCHEMA = f"{RECORD_SCHEMA}, kind string, batch_id bigint"
@@ -45,6 +48,36 @@ class DeadLetterTable:
         return read_or_empty(spark, self.path, DEAD_SCHEMA)
 
 
+def _by_kind(inserts: DataFrame, patches: DataFrame) -> DataFrame:
+    return inserts.select("id", "rec", F.lit("insert").alias("kind")).unionByName(
+        patches.select("id", "rec", F.lit("patch").alias("kind"))
+    )
+
+
+class ExternalTable:
+    """A target behind an interface of its own, written by a bounded number of tasks.
+
+    ``send`` gets an iterator of ``(id, rec, kind)`` rows in each task and must
+    accept the same row twice; ``known`` gives a DataFrame with the ids held.
+    """
+
+    def __init__(
+        self,
+        known: Callable[[], DataFrame],
+        send: Callable[[Iterator[Row]], None],
+        writers: int = DEFAULT_WRITE_PARALLELISM,
+    ):
+        self._known = known
+        self._send = send
+        self._writers = writers
+
+    def ids(self, before: int | None = None) -> DataFrame:
+        return self._known().select("id")
+
+    def write_changes(self, inserts: DataFrame, patches: DataFrame, batch_id: int) -> None:
+        limit_writers(_by_kind(inserts, patches), self._writers).foreachPartition(self._send)
+
+
 class RecordTable:
     """A target kept as a base plus the changes of the batches after it.
 
@@ -103,6 +136,51 @@ class RecordTable:
         folded = fold_patches(changes.where(F.col("kind") == "patch"), order=("batch_id",))
         return merge_patches(rows, folded)
 
+    def write_changes(self, inserts: DataFrame, patches: DataFrame, batch_id: int) -> None:
+        write_batch(_by_kind(inserts, patches), self._changes, batch_id)
+
+    def compacted(self) -> int:
+        """The last batch included in the base; -1 for the initial rows."""
+        stored = self._versions.get("base").last_identifier
+        return int(stored) if stored else -1
+
+    def create(self, records: DataFrame) -> None:
+        self._write_base(records, -1)
+
+    def _write_base(self, records: DataFrame, batch_id: int) -> None:
+        (
+            records.select("id", "rec", F.lit(batch_id).cast("bigint").alias("version"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("version")
+            .parquet(self._base)
+        )
+        self._versions.set("base", Progress(None, str(batch_id)))
+        self._versions.flush()
+
+    def _changed(self, before: int | None) -> DataFrame:
+        changes = read_or_empty(self._spark, self._changes, CHANGE_SCHEMA)
+        changes = changes.where(F.col("batch_id") > self.compacted)
+        return changes if before is None else changes.where(F.col("batch_id") < before)
+
+    def _base_rows(self) -> DataFrame:
+        base = read_or_empty(self._spark, self._base, f"{RECORD_SCHEMA}, version bigint")
+        return base.where(F.col("version") == self.compacted)
+
+    def ids(self, before: int | None = None) -> DataFrame:
+        """Ids held before a batch; reads no record."""
+        inserted = self._changed(before).where(F.col("kind") == "insert")
+        return self._base_rows().select("id").unionByName(inserted.select("id"))
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """All rows, with the changes of every batch or of those before ``before``."""
+        changes = self._changed(before)
+        rows = self._base_rows().select("id", "rec").unionByName(
+            changes.where(F.col("kind") == "insert").select("id", "rec")
+        )
+        folded = fold_patches(changes.where(F.col("kind") == "patch"), order=("batch_id",))
+        return merge_patches(rows, folded)
+
     def write_changes(self, inserts: DataFrame, patches: DataFrame, batch_id: int, writers: int | None = None) -> None:
         changes = inserts.select("id", "rec", F.lit("insert").alias("kind")).unionByName(
             patches.select("id", "rec", F.lit("patch").alias("kind"))

@@ -92,17 +92,18 @@ class TopicRoute:
 
 @dataclass(frozen=True)
 class ApplySpec:
-    """How a log is applied to one target table."""
+    """How a log is applied to one target table.
+
+    ``fields`` names every field the target has and makes folding cheaper; fields
+    outside it are ignored.  Empty means that patches may set any field.
+    """
 
     table: str
     id_field: str = DEFAULT_ID_FIELD
     fields: tuple[str, ...] = ()
     commit_on_partial_failure: bool = True
-    write_parallelism: int = DEFAULT_WRITE_PARALLELISM
 
     def __post_init__(self):
         object.__setattr__(self, "fields", tuple(self.fields))
         if not self.table or not self.id_field:
             raise ValueError("ApplySpec needs a table and an id_field")
-        if self.write_parallelism <= 0:
-            object.__setattr__(self, "write_parallelism", DEFAULT_WRITE_PARALLELISM)
