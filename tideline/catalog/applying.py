@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.catalog.base import Query, table
@@ -28,20 +28,24 @@ ID = "sys_id"
 ORDER_FIELDS = ("o_orderstatus", "qty", "tax", "note")
 
 
+def _text(*parts) -> Column:
+    return F.concat(*[F.lit(part) if isinstance(part, str) else part for part in parts])
+
+
 def event_log(spark: SparkSession, folder: str) -> DataFrame:
     """Events as messages about customers: updates with and without an explicit null,
     new rows without identifier or with a numeric one, and unreadable values."""
     kind, k = F.col("event_type"), F.get_json_object("props", "$.k")
-    ident = (F.col("user_id") * 11).cast("string")
+    ident = F.col("user_id") * 11
     value = (
-        F.when(kind == "purchase", F.format_string('{"sys_id":"%s","amount":"%s","last":"purchase"}', ident, k))
-        .when(kind == "click", F.format_string('{"sys_id":"%s","last":"click","note":null}', ident))
-        .when(kind == "view", F.format_string('{"sys_id":%s,"seen":"%s"}', F.col("event_id").cast("string"), k))
-        .when(kind == "signup", F.format_string('{"channel":"k%s","note":null}', k))
-        .when(k.cast("int") % 4 == 0, F.concat("props", F.lit(" x")))
-        .when(k.cast("int") % 4 == 1, F.concat(F.lit("["), "props", F.lit("]")))
-        .when(k.cast("int") % 4 == 2, F.concat("props", F.lit(" "), "props"))
-        .otherwise(F.lit("null"))
+        F.when(kind == "purchase", _text('{"sys_id":"', ident, '","amount":"', k, '","last":"purchase"}'))
+        .when(kind == "click", _text('{"sys_id":"', ident, '","last":"click","note":null}'))
+        .when(kind == "view", _text('{"sys_id":', F.col("event_id"), ',"seen":"', k, '"}'))
+        .when(kind == "signup", _text('{"channel":"k', k, '","note":null}'))
+        .when(k.cast("int") % 4 == 0, _text(F.col("props"), " x"))
+        .when(k.cast("int") % 4 == 1, _text("[", F.col("props"), "]"))
+        .when(k.cast("int") % 4 == 2, _text(F.col("props"), " ", F.col("props")))
+        .otherwise("null")
     )
     return table(spark, folder, "events").select(
         F.concat(F.lit("customers."), kind).alias("topic"),
@@ -81,22 +85,15 @@ FAILED = f"""
 def order_log(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as patches of their order, several per order; some leave out a field,
     some clear one."""
-    tax = F.when(F.col("l_tax") > 0, F.format_string(',"tax":"%s"', F.col("l_tax").cast("string"))).otherwise("")
-    note = F.when(F.col("l_returnflag") == "N", F.lit(',"note":null')).otherwise(
-        F.format_string(',"note":"%s"', "l_returnflag")
-    )
-    head = F.format_string(
-        '{"sys_id":"%s","o_orderstatus":"%s","qty":"%s"',
-        F.col("l_orderkey").cast("string"),
-        "l_linestatus",
-        F.col("l_quantity").cast("string"),
-    )
+    tax = F.when(F.col("l_tax") > 0, _text(',"tax":"', F.col("l_tax"), '"')).otherwise("")
+    note = F.when(F.col("l_returnflag") == "N", ',"note":null').otherwise(_text(',"note":"', F.col("l_returnflag"), '"'))
+    head = _text('{"sys_id":"', F.col("l_orderkey"), '","o_orderstatus":"', F.col("l_linestatus"), '","qty":"')
     return table(spark, folder, "lineitem").select(
         F.lit("orders").alias("topic"),
         F.col("l_linenumber").alias("partition"),
         (F.col("l_partkey") * 1000000 + F.col("l_suppkey")).alias("offset"),
         F.col("l_shipdate").alias("timestamp"),
-        F.concat(head, tax, note, F.lit("}")).alias("value"),
+        _text(head, F.col("l_quantity"), '"', tax, note, "}").alias("value"),
     )
 
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tideline.catalog.base import Query, table
-from tideline.functions.predicates import Clause
+from tideline.functions.predicates import Clause, is_empty_string
 from tideline.operators.reads import project, read_records, strip_links
 from tideline.sources.tables import decode_envelopes
 from tideline.specs import TableSpec
@@ -105,7 +105,8 @@ QUERIES = {
     "filter_is_anything": _state_query(Clause().is_anything("state"), "TRUE"),
     "filter_is_empty_string": _state_query(Clause().is_empty_string("state"), "state = ''"),
     "filter_is_empty_string_number": Query(
-        _where("part", Clause().is_empty_string("p_size")), "SELECT * FROM part WHERE FALSE"
+        _where("part", Clause().eq("p_brand", "Brand#4").or_where(is_empty_string("p_size"))),
+        "SELECT * FROM part WHERE p_brand = 'Brand#4'",
     ),
     "filter_is_empty": _state_query(Clause().is_empty("state"), "state IS NULL OR state = ''"),
     "filter_is_not_empty": _state_query(Clause().is_not_empty("state"), "state IS NOT NULL AND state <> ''"),

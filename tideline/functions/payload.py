@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tideline.specs import RAW_EXCERPT_CHARS
 
+# Fixed value: how Spark writes JSON numbers, booleans, arrays and objects as text.
+MAYBE_UNQUOTED = r"^(-?[0-9][-+0-9.E]*|true|false|\[.*|\{.*)$"
 STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
@@ -15,27 +17,25 @@ def parsed_record(value: str) -> Column:
 
     Spark's JSON functions stop after the first complete value and ignore what
     follows.  Read as the only element of an array, a valid text leaves just the
-    closing bracket; read as the only member of an object, just the closing
-    brace.  Text after the object cannot start with both, so one of the two
-    readings fails.
+    closing bracket; read as a member of an object, just the closing brace.  Text
+    after the object cannot start with both, so one of the two readings fails.
     """
     text = F.col(value)
-    elements = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", STRICT_JSON)
-    members = F.json_object_keys(F.concat(F.lit('{"r":'), text, F.lit("}")))
-    whole = (F.size(elements) == 1) & (members == F.array(F.lit("r")))
-    return F.when(whole, F.element_at(elements, 1))
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    member = F.from_json(F.concat(F.lit('{"r":'), text, F.lit("}")), "struct<r: map<string,string>>", STRICT_JSON)
+    return F.when(alone, member["r"])
 
 
 def record_id(value: str, record: str, id_field: str) -> Column:
     """The identifier of a parsed record; NULL unless it is non-empty JSON text.
 
-    The type is taken from the JSON, where ``12`` and ``"12"`` differ; the map
-    holds both as text.
+    The map holds ``12`` and ``"12"`` alike, so where its text could stand for
+    something else than a string the type is looked up in the JSON.
     """
     typed = F.from_json(F.col(value), f"struct<`{id_field}`: variant>", STRICT_JSON)[id_field]
     text = F.col(record)[id_field]
-    usable = F.col(record).isNotNull() & (F.schema_of_variant(typed) == "STRING") & (text != "")
-    return F.when(usable, text)
+    quoted = ~text.rlike("(?s)" + MAYBE_UNQUOTED) | (F.schema_of_variant(typed) == "STRING")
+    return F.when((text != "") & quoted, text)
 
 
 def operation(record: str, id_column: str) -> Column:

@@ -79,8 +79,10 @@ def fold_patches(
             .agg(*latest)
             .select("id", F.map_from_entries(F.filter(entries, lambda e: e.isNotNull())).alias("rec"))
         )
+    # the outer form keeps Spark from testing the map, and parsing it once more, below the explode
     return (
-        patches.select("id", F.explode("rec").alias("field", "val"), _position(order).alias("at"))
+        patches.select("id", F.explode_outer("rec").alias("field", "val"), _position(order).alias("at"))
+        .where(F.col("field").isNotNull())
         .groupBy("id", "field")
         .agg(F.max_by("val", "at").alias("val"))
         .groupBy("id")

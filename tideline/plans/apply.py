@@ -97,7 +97,6 @@ def apply_batch(
         unknown = missing_ids(parsed, target.ids(before=batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
         held.append(unknown)
         changes = plan_changes(parsed, unknown, spec)
-        target.write_changes(changes.inserts, changes.patches, batch_id)
         failed = changes.failed.persist(StorageLevel.MEMORY_AND_DISK)
         held.append(failed)
         failures = failed.count()
@@ -105,6 +104,8 @@ def apply_batch(
             dead.write(dead_letters(failed, spec.table, now), batch_id)
         if metrics_path is not None:
             write_batch(batch_counters(parsed, failed, spec.table), metrics_path, batch_id)
+        # last: writing to the target makes Spark drop what it holds of plans that read it
+        target.write_changes(changes.inserts, changes.patches, batch_id)
     finally:
         for df in held:
             df.unpersist()

@@ -3,7 +3,6 @@ writes every message or raises; publishing a file batch again replaces it."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +36,7 @@ class FileLog:
         )
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, self.path, MESSAGE_SCHEMA)
+        return spark.read.schema(MESSAGE_SCHEMA).parquet(self.path)
 
 
 class KafkaLog:
@@ -53,13 +52,3 @@ class KafkaLog:
 
     def publish(self, messages: DataFrame, batch: str) -> None:
         messages.write.format("kafka").options(**self.options).save()
-
-
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A parquet table that may not have been written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)

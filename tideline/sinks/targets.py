@@ -13,17 +13,16 @@ from pyspark.sql import functions as F
 
 from tideline.operators.apply import fold_patches, merge_patches
 from tideline.operators.messages import limit_writers
-from tideline.sinks.logs import read_or_empty
-from tideline.sources.progress import ProgressStore
+from tideline.sources.progress import ProgressStore, create_if_missing
 from tideline.specs import DEFAULT_WRITE_PARALLELISM, Progress
 
 RECORD_SCHEMA = "id string, rec map<string,string>"
+BASE_SCHEMA = f"{RECORD_SCHEMA}, version bigint"
 CHANGE_SCHEMA = f"{RECORD_SCHEMA}, kind string, batch_id bigint"
 DEAD_SCHEMA = (
     "original_payload string, error string, timestamp string, topic string, table string, "
     "partition int, offset bigint, batch_id bigint"
 )
-COUNT_SCHEMA = "metric string, table string, label string, value bigint, batch_id bigint"
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -45,7 +44,7 @@ class DeadLetterTable:
         write_batch(letters, self.path, batch_id)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, self.path, DEAD_SCHEMA)
+        return spark.read.schema(DEAD_SCHEMA).parquet(self.path)
 
 
 def _by_kind(inserts: DataFrame, patches: DataFrame) -> DataFrame:
@@ -92,6 +91,8 @@ class RecordTable:
         self._base = f"{path}/base"
         self._changes = f"{path}/changes"
         self._versions = ProgressStore(spark, f"{path}/version")
+        create_if_missing(spark, self._base, BASE_SCHEMA, "version")
+        create_if_missing(spark, self._changes, CHANGE_SCHEMA, "batch_id")
 
     @property
     def compacted(self) -> int:
@@ -113,80 +114,29 @@ class RecordTable:
         self._versions.set("base", Progress(None, str(batch_id)))
         self._versions.flush()
 
-    def _changed(self, before: int | None) -> DataFrame:
-        changes = read_or_empty(self._spark, self._changes, CHANGE_SCHEMA)
-        changes = changes.where(F.col("batch_id") > self.compacted)
-        return changes if before is None else changes.where(F.col("batch_id") < before)
-
-    def _base_rows(self) -> DataFrame:
-        base = read_or_empty(self._spark, self._base, f"{RECORD_SCHEMA}, version bigint")
-        return base.where(F.col("version") == self.compacted)
+    def _parts(self, before: int | None) -> tuple[DataFrame, DataFrame]:
+        """The rows held, inserted ones included, and the patches on them."""
+        included = self.compacted
+        base = self._spark.read.schema(BASE_SCHEMA).parquet(self._base)
+        changes = self._spark.read.schema(CHANGE_SCHEMA).parquet(self._changes).where(F.col("batch_id") > included)
+        if before is not None:
+            changes = changes.where(F.col("batch_id") < before)
+        inserted = changes.where(F.col("kind") == "insert").select("id", "rec")
+        rows = base.where(F.col("version") == included).select("id", "rec").unionByName(inserted)
+        return rows, changes.where(F.col("kind") == "patch")
 
     def ids(self, before: int | None = None) -> DataFrame:
         """Ids held before a batch; reads no record."""
-        inserted = self._changed(before).where(F.col("kind") == "insert")
-        return self._base_rows().select("id").unionByName(inserted.select("id"))
+        return self._parts(before)[0].select("id")
 
     def read(self, before: int | None = None) -> DataFrame:
         """All rows, with the changes of every batch or of those before ``before``."""
-        changes = self._changed(before)
-        rows = self._base_rows().select("id", "rec").unionByName(
-            changes.where(F.col("kind") == "insert").select("id", "rec")
-        )
-        folded = fold_patches(changes.where(F.col("kind") == "patch"), order=("batch_id",))
-        return merge_patches(rows, folded)
+        rows, patches = self._parts(before)
+        return merge_patches(rows, fold_patches(patches, order=("batch_id",)))
 
     def write_changes(self, inserts: DataFrame, patches: DataFrame, batch_id: int) -> None:
         write_batch(_by_kind(inserts, patches), self._changes, batch_id)
 
-    def compacted(self) -> int:
-        """The last batch included in the base; -1 for the initial rows."""
-        stored = self._versions.get("base").last_identifier
-        return int(stored) if stored else -1
-
-    def create(self, records: DataFrame) -> None:
-        self._write_base(records, -1)
-
-    def _write_base(self, records: DataFrame, batch_id: int) -> None:
-        (
-            records.select("id", "rec", F.lit(batch_id).cast("bigint").alias("version"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("version")
-            .parquet(self._base)
-        )
-        self._versions.set("base", Progress(None, str(batch_id)))
-        self._versions.flush()
-
-    def _changed(self, before: int | None) -> DataFrame:
-        changes = read_or_empty(self._spark, self._changes, CHANGE_SCHEMA)
-        changes = changes.where(F.col("batch_id") > self.compacted)
-        return changes if before is None else changes.where(F.col("batch_id") < before)
-
-    def _base_rows(self) -> DataFrame:
-        base = read_or_empty(self._spark, self._base, f"{RECORD_SCHEMA}, version bigint")
-        return base.where(F.col("version") == self.compacted)
-
-    def ids(self, before: int | None = None) -> DataFrame:
-        """Ids held before a batch; reads no record."""
-        inserted = self._changed(before).where(F.col("kind") == "insert")
-        return self._base_rows().select("id").unionByName(inserted.select("id"))
-
-    def read(self, before: int | None = None) -> DataFrame:
-        """All rows, with the changes of every batch or of those before ``before``."""
-        changes = self._changed(before)
-        rows = self._base_rows().select("id", "rec").unionByName(
-            changes.where(F.col("kind") == "insert").select("id", "rec")
-        )
-        folded = fold_patches(changes.where(F.col("kind") == "patch"), order=("batch_id",))
-        return merge_patches(rows, folded)
-
-    def write_changes(self, inserts: DataFrame, patches: DataFrame, batch_id: int, writers: int | None = None) -> None:
-        changes = inserts.select("id", "rec", F.lit("insert").alias("kind")).unionByName(
-            patches.select("id", "rec", F.lit("patch").alias("kind"))
-        )
-        write_batch(changes.coalesce(writers) if writers else changes, self._changes, batch_id)
-
     def compact(self, through: int) -> None:
         """Include all batches up to ``through`` in the base; only for finished batches."""
         if through > self.compacted:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,20 +20,21 @@ SLOTS = 8
 PROGRESS_SCHEMA = "ts timestamp_ntz, last_identifier string, version bigint, table string, slot int"
 
 
+def create_if_missing(spark: SparkSession, path: str, schema: str, *partition_by: str) -> None:
+    """An empty partitioned table, so that readers need not care who comes first."""
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partition_by).parquet(path)
+
+
 class ProgressStore:
     def __init__(self, spark: SparkSession, path: str):
         self._spark = spark
         self._path = path
         self._pending: dict[str, Progress] = {}
+        create_if_missing(spark, path, PROGRESS_SCHEMA, "table", "slot")
 
     def stored(self) -> DataFrame:
         """The newest ``(table, ts, last_identifier, version)`` of each table."""
-        try:
-            rows = self._spark.read.schema(PROGRESS_SCHEMA).parquet(self._path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            rows = self._spark.createDataFrame([], PROGRESS_SCHEMA)
+        rows = self._spark.read.schema(PROGRESS_SCHEMA).parquet(self._path)
         newest = F.max_by(F.struct("ts", "last_identifier", "version"), "version").alias("p")
         return rows.groupBy("table").agg(newest).select("table", "p.*")
 
