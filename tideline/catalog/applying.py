@@ -21,6 +21,7 @@ from tideline.operators.apply import (
     to_records,
 )
 from tideline.plans.apply import apply_log, missing_ids
+from tideline.session import spread, stage
 from tideline.specs import ApplySpec
 
 NOW = datetime(2024, 2, 1)
@@ -47,7 +48,7 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
         .when(k.cast("int") % 4 == 2, _text(F.col("props"), " ", F.col("props")))
         .otherwise("null")
     )
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events")).select(
         F.concat(F.lit("customers."), kind).alias("topic"),
         (F.col("user_id") % 8).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
@@ -88,7 +89,7 @@ def order_log(spark: SparkSession, folder: str) -> DataFrame:
     tax = F.when(F.col("l_tax") > 0, _text(',"tax":"', F.col("l_tax"), '"')).otherwise("")
     note = F.when(F.col("l_returnflag") == "N", ',"note":null').otherwise(_text(',"note":"', F.col("l_returnflag"), '"'))
     head = _text('{"sys_id":"', F.col("l_orderkey"), '","o_orderstatus":"', F.col("l_linestatus"), '","qty":"')
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem")).select(
         F.lit("orders").alias("topic"),
         F.col("l_linenumber").alias("partition"),
         (F.col("l_partkey") * 1000000 + F.col("l_suppkey")).alias("offset"),
@@ -143,7 +144,7 @@ APPLIED = f"""
 
 
 def order_patches(spark, folder, fields=()):
-    return fold_patches(parse_log(order_log(spark, folder), ID), fields=fields)
+    return fold_patches(stage(parse_log(order_log(spark, folder), ID), "parsed", "operation"), fields=fields)
 
 
 def _fold(fields=()):
@@ -163,11 +164,11 @@ def _merge_columns(spark, folder):
 
 
 def _parsed(spark, folder):
-    return parse_log(event_log(spark, folder), ID)
+    return stage(parse_log(event_log(spark, folder), ID), "parsed", "operation")
 
 
 def _routes(spark, folder):
-    return _parsed(spark, folder).select("offset", "id", "operation", "error")
+    return parse_log(event_log(spark, folder), ID).select("offset", "id", "operation", "error")
 
 
 def _documents(spark, folder):

@@ -7,12 +7,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.catalog.applying import FAILED, PARSED, _apply, _parsed
+from tideline.catalog.applying import FAILED, PARSED, _apply, _customers, _parsed
 from tideline.catalog.base import Query, table
 from tideline.operators.incremental import lag_seconds
 from tideline.operators.metrics import alerts, api_counters, counter, histogram, outcome_class, source_counters
-from tideline.plans.apply import batch_counters
-from tideline.specs import POLL_DURATION_BOUNDS
+from tideline.plans.apply import batch_counters, missing_ids, plan_changes
+from tideline.specs import POLL_DURATION_BOUNDS, ApplySpec
 
 
 def api_calls(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,7 +75,9 @@ def _sources(spark, folder):
 
 
 def _sinks(spark, folder):
-    return batch_counters(_parsed(spark, folder), _apply(spark, folder)[1], "customers")
+    parsed = _parsed(spark, folder)
+    changes = plan_changes(parsed, missing_ids(parsed, _customers(spark, folder)), ApplySpec("customers"))
+    return batch_counters(parsed, changes.failed, "customers")
 
 
 def _alerts(spark, folder):

@@ -34,6 +34,8 @@ def parse_log(log: DataFrame, id_field: str) -> DataFrame:
     """The log with ``rec``, ``id``, ``operation`` and, for rejected values, ``error``.
 
     ``rec`` leaves out the identifier, which names the row and is not a change to it.
+    Persist or stage the result before filtering it: Spark moves filters below the
+    parsing and so parses twice.
     """
     return (
         log.withColumn("_rec", parsed_record("value"))
@@ -49,6 +51,12 @@ def _position(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
+def _exploded(records: DataFrame, *columns: str | Column) -> DataFrame:
+    # the outer form keeps Spark from testing the map, and computing it once more, below the explode
+    fields = records.select(*columns, F.explode_outer("rec").alias("field", "val"))
+    return fields.where(F.col("field").isNotNull())
+
+
 def fold_patches(
     patches: DataFrame, order: Sequence[str] = LOG_ORDER, fields: Sequence[str] = ()
 ) -> DataFrame:
@@ -79,10 +87,8 @@ def fold_patches(
             .agg(*latest)
             .select("id", F.map_from_entries(F.filter(entries, lambda e: e.isNotNull())).alias("rec"))
         )
-    # the outer form keeps Spark from testing the map, and parsing it once more, below the explode
     return (
-        patches.select("id", F.explode_outer("rec").alias("field", "val"), _position(order).alias("at"))
-        .where(F.col("field").isNotNull())
+        _exploded(patches, "id", _position(order).alias("at"))
         .groupBy("id", "field")
         .agg(F.max_by("val", "at").alias("val"))
         .groupBy("id")
@@ -173,4 +179,4 @@ def from_records(records: DataFrame, schema: T.StructType, id_col: str) -> DataF
 
 def record_fields(records: DataFrame) -> DataFrame:
     """One row ``(id, field, val)`` per field."""
-    return records.select("id", F.explode("rec").alias("field", "val"))
+    return _exploded(records, "id")

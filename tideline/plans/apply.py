@@ -19,6 +19,7 @@ from tideline.operators.apply import (
     unknown_ids,
 )
 from tideline.operators.metrics import tagged
+from tideline.session import stage
 from tideline.sinks.targets import DeadLetterTable, ExternalTable, RecordTable, write_batch
 from tideline.specs import ApplySpec
 
@@ -56,8 +57,12 @@ def plan_changes(parsed: DataFrame, unknown: DataFrame, spec: ApplySpec) -> Chan
 
 
 def apply_log(log: DataFrame, target: DataFrame, spec: ApplySpec) -> tuple[DataFrame, DataFrame]:
-    """The target after ``log`` and the messages that failed, as plans without side effects."""
-    parsed = parse_log(log, spec.id_field)
+    """The target after ``log`` and the messages that failed.
+
+    The log is parsed once into the scratch folder: parsing costs more than all
+    that follows, and a filter on its result would otherwise repeat it.
+    """
+    parsed = stage(parse_log(log, spec.id_field), "parsed", "operation")
     changes = plan_changes(parsed, missing_ids(parsed, target), spec)
     rows = target.unionByName(changes.inserts)
     return merge_patches(rows, changes.patches), changes.failed

@@ -47,13 +47,25 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan in at least as many tasks as there are cores.
+
+    Only a scan with fewer splits is shuffled, as one small file is; parsing
+    would otherwise keep most cores idle.  For plain scans: on a plan that
+    already shuffles, counting partitions would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def stage(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write ``df`` under the scratch folder and read it back.
 
     The result no longer depends on the tasks that computed it, so it is the
-    same rows in every later use, also after executors are lost.
+    same rows in every later use, also after executors are lost.  The files stay
+    until the folder is cleaned.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
