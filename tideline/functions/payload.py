@@ -19,6 +19,7 @@ def parsed_record(value: str) -> Column:
     follows.  Read as the only element of an array, a valid text leaves just the
     closing bracket; read as a member of an object, just the closing brace.  Text
     after the object cannot start with both, so one of the two readings fails.
+    A repeated field stays repeated; see ``last_values``.
     """
     text = F.col(value)
     alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
@@ -26,6 +27,17 @@ def parsed_record(value: str) -> Column:
     return F.when(alone, member["r"])
 
 
+def last_values(record: str) -> Column:
+    """The map with one entry per field: the last one where the JSON repeats it."""
+    keys = F.map_keys(record)
+    from_the_end = F.reverse(keys)
+    last = F.filter(
+        F.map_entries(record), lambda entry, i: F.array_position(from_the_end, entry["key"]) == F.size(keys) - i
+    )
+    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    return F.when(repeated, F.map_from_entries(last)).otherwise(F.col(record))
+
+
 def record_id(value: str, record: str, id_field: str) -> Column:
     """The identifier of a parsed record; NULL unless it is non-empty JSON text.
 

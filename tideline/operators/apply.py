@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions.payload import insert_id, operation, parse_error, parsed_record, record_id
+from tideline.functions.payload import insert_id, last_values, operation, parse_error, parsed_record, record_id
 from tideline.functions.timestamps import naive_utc
 
 PATCH_TYPE = "map<string,string>"
@@ -38,12 +38,13 @@ def parse_log(log: DataFrame, id_field: str) -> DataFrame:
     parsing and so parses twice.
     """
     return (
-        log.withColumn("_rec", parsed_record("value"))
+        log.withColumn("_raw", parsed_record("value"))
+        .withColumn("_rec", last_values("_raw"))
         .withColumn("id", record_id("value", "_rec", id_field))
         .withColumn("operation", operation("_rec", "id"))
         .withColumn("error", F.when(F.col("operation") == "reject", parse_error("value")))
         .withColumn("rec", F.map_filter("_rec", lambda k, v: k != id_field))
-        .drop("_rec")
+        .drop("_raw", "_rec")
     )
 
 

@@ -77,7 +77,7 @@ def pull_once(
     result = publish_rows(rows, spec, sink, pull_id(spec, progress), progress, settings)
     if result.rows:
         store.set(spec.name, result.progress)
-        store.flush()
+        store.flush(spec.name)
     return result
 
 

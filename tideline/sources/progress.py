@@ -56,26 +56,35 @@ class ProgressStore:
         ts = naive_utc(progress.ts) if progress.ts else None
         self._pending[table] = Progress(ts, progress.last_identifier)
 
-    def flush(self) -> int:
-        """Write what changed since the last flush; returns the number of tables written."""
+    def flush(self, *tables: str) -> int:
+        """Write what changed since the last flush, of ``tables`` or of all; returns how many did.
+
+        Jobs of different tables may share a store, each flushing its own.
+        """
         written = 0
-        for table, progress in list(self._pending.items()):
-            row = self._row(table)
-            if row is None or Progress(row["ts"], row["last_identifier"] or "") != progress:
-                version = row["version"] + 1 if row else 1
-                values = [(progress.ts, progress.last_identifier, version, table, version % SLOTS)]
-                (
-                    self._spark.createDataFrame(values, PROGRESS_SCHEMA)
-                    .coalesce(1)
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("table", "slot")
-                    .parquet(self._path)
-                )
-                written += 1
-            del self._pending[table]
+        for table in tables or list(self._pending):
+            progress = self._pending.get(table)
+            if progress is not None:
+                written += self._write(table, progress)
+                del self._pending[table]
         return written
 
+    def _write(self, table: str, progress: Progress) -> bool:
+        row = self._row(table)
+        if row and Progress(row["ts"], row["last_identifier"] or "") == progress:
+            return False
+        version = row["version"] + 1 if row else 1
+        values = [(progress.ts, progress.last_identifier, version, table, version % SLOTS)]
+        (
+            self._spark.createDataFrame(values, PROGRESS_SCHEMA)
+            .coalesce(1)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("table", "slot")
+            .parquet(self._path)
+        )
+        return True
+
     def snapshot(self) -> dict[str, Progress]:
         """Progress of every table, with changes not yet flushed; one entry per table."""
         rows = {r["table"]: Progress(r["ts"], r["last_identifier"] or "") for r in self.stored().collect()}

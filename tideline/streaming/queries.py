@@ -55,7 +55,7 @@ def stream_publish(
         result = publish_rows(due, spec, sink, f"{spec.name}-{batch_id}", previous, settings)
         if result.rows:
             store.set(spec.name, result.progress)
-            store.flush()
+            store.flush(spec.name)
 
     return _start(
         rows.writeStream.foreachBatch(publish), f"publish-{spec.name}", checkpoint, trigger or {"availableNow": True}
