@@ -14,7 +14,8 @@ from tideline.operators.apply import (
     route_topics,
     to_records,
 )
-from tideline.plans.apply import PartialFailure, apply_batch, apply_log
+from tideline.plans.apply import PartialFailure, apply_batch, apply_log, missing_ids
+from tideline.session import small_side
 from tideline.sinks.targets import DeadLetterTable, ExternalTable, RecordTable
 from tideline.specs import ApplySpec
 
@@ -263,6 +264,29 @@ def test_hot_unknown_id_is_rejected_whole(spark, target_rows):
     assert failed.count() == 500 and recs(rows)["a"]["state"] == "499"
 
 
+def test_a_small_batch_does_not_shuffle_the_target(spark, folder):
+    """The ids of a large target are scanned in place when a batch names few."""
+    spark.range(100000).selectExpr("cast(id as string) AS id").write.parquet(f"{folder}/ids")
+    parsed, held = parse_log(log_of(spark, MIXED), "sys_id").persist(), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        unknown = missing_ids(parsed, spark.read.parquet(f"{folder}/ids"), held)
+        text = plan(unknown)
+        assert "SortMergeJoin" not in text.split("FileScan parquet")[0].split("LeftAnti")[-1]
+        assert sorted(r.id for r in unknown.collect()) == ["a", "nobody"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for df in (parsed, *held):
+            df.unpersist()
+
+
+def test_small_side_is_measured(spark):
+    df = spark.range(100).selectExpr("cast(id as string) AS id")
+    marked = small_side(df, "id")._jdf.queryExecution().logical().toString()
+    assert "broadcast" in marked
+    assert "broadcast" not in small_side(df, "id", 100)._jdf.queryExecution().logical().toString()
+
+
 def test_folding_needs_no_python(spark):
     text = plan(fold_patches(parse_log(log_of(spark, ["{}"]), "sys_id")))
     assert "Python" not in text

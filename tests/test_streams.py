@@ -1,3 +1,4 @@
+import json
 import time
 from datetime import datetime, timedelta
 
@@ -64,6 +65,26 @@ def test_limited_pulls_drain(spark, folder):
     assert sizes == [2, 2, 1, 0] and published(spark, log) == list("abcde")
 
 
+@pytest.mark.parametrize("placement", ["colocated", "contiguous"])
+def test_placed_pulls_publish_keys_in_order(spark, folder, placement):
+    store, log = ProgressStore(spark, f"{folder}/p"), FileLog(f"{folder}/log")
+    spec = TableSpec("t", "ts", "id", key_mode="field_based", key_fields=("g",))
+    made = [(f"{i:03}", T0 + timedelta(seconds=i), f"g{i % 3}") for i in range(99)]
+    df = spark.createDataFrame(made, ROWS + ", g string").repartition(6)
+    settings = PullSettings(topic_prefix="p", placement=placement)
+    assert pull_once(df, spec, store, log, now=NOW, settings=settings).rows == 99
+    assert store.get("t").last_identifier == "098"
+    order = {}
+    for row in readable(log.read(spark)).collect():
+        order.setdefault(row.key, []).append(json.loads(row.value)["id"])
+    assert len(order) == 3 and all(ids == sorted(ids) and len(ids) == 33 for ids in order.values())
+
+
+def test_placement_is_checked():
+    with pytest.raises(ValueError):
+        PullSettings(placement="anywhere")
+
+
 def test_pulls_side_by_side(spark, folder):
     store, log = ProgressStore(spark, f"{folder}/p"), FileLog(f"{folder}/log")
 

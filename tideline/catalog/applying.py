@@ -144,7 +144,7 @@ APPLIED = f"""
 
 
 def order_patches(spark, folder, fields=()):
-    return fold_patches(stage(parse_log(order_log(spark, folder), ID), "parsed", "operation"), fields=fields)
+    return fold_patches(stage(parse_log(order_log(spark, folder), ID), "parsed"), fields=fields)
 
 
 def _fold(fields=()):
@@ -164,7 +164,7 @@ def _merge_columns(spark, folder):
 
 
 def _parsed(spark, folder):
-    return stage(parse_log(event_log(spark, folder), ID), "parsed", "operation")
+    return stage(parse_log(event_log(spark, folder), ID), "parsed")
 
 
 def _routes(spark, folder):

@@ -132,12 +132,21 @@ def new_rows(parsed: DataFrame) -> DataFrame:
     )
 
 
-def unknown_ids(updates: DataFrame, *known: DataFrame) -> DataFrame:
-    """Distinct ids of ``updates`` that none of ``known`` holds."""
-    ids = updates.select("id").distinct()
+def named_ids(updates: DataFrame) -> DataFrame:
+    """Distinct ids of update messages; a hot id is one row per task before the shuffle."""
+    return updates.select("id").distinct()
+
+
+def unknown_ids(named: DataFrame, *known: DataFrame) -> DataFrame:
+    """The ids of ``named`` that none of ``known`` holds.
+
+    Each table is first reduced to the ids in question.  With ``named`` marked
+    for broadcast the table is scanned without a shuffle, whatever its size.
+    """
     for rows in known:
-        ids = ids.join(rows.select("id"), "id", "left_anti")
-    return ids
+        held = rows.select("id").join(named, "id", "left_semi")
+        named = named.join(held, "id", "left_anti")
+    return named
 
 
 def rejected_updates(updates: DataFrame, unknown: DataFrame) -> DataFrame:

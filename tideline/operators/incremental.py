@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions.predicates import Clause, eq, ge, gt, is_not_empty, literal, lt, ts_eq
+from tideline.functions.predicates import Clause, eq, ge, gt, is_not_empty, le, literal, lt, ts_eq
 from tideline.functions.timestamps import naive_utc, position_ts, strict_ts
 from tideline.operators.reads import project
 from tideline.specs import Progress, TableSpec
@@ -166,10 +166,7 @@ def late_rows(df: DataFrame, spec: TableSpec, progress: Progress, published: Dat
     ts, ident = spec.ts_col, spec.id_col
     schema = df.schema
     before = Clause().where(lt(ts, progress.ts))
-    tied = Clause().where(eq(ts, progress.ts)).where(_at_most(ident, progress.last_identifier))
+    tied = Clause().where(eq(ts, progress.ts)).where(le(ident, progress.last_identifier))
     passed = df.where(Clause().where(is_not_empty(ident)).on(schema) & before.union(tied).on(schema))
-    return passed.join(published.select(ident, ts).distinct(), [ident, ts], "left_anti")
-
-
-def _at_most(field: str, value: str):
-    return lambda schema: F.col(field) <= literal(value, schema[field].dataType)
+    sent = published.where(le(ts, progress.ts)(published.schema)).select(ident, ts)
+    return passed.join(sent, [ident, ts], "left_anti")

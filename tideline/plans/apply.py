@@ -13,13 +13,14 @@ from tideline.operators.apply import (
     dead_letters,
     fold_patches,
     merge_patches,
+    named_ids,
     new_rows,
     parse_log,
     rejected_updates,
     unknown_ids,
 )
 from tideline.operators.metrics import tagged
-from tideline.session import stage
+from tideline.session import small_side, stage
 from tideline.sinks.targets import DeadLetterTable, ExternalTable, RecordTable, write_batch
 from tideline.specs import ApplySpec
 
@@ -37,12 +38,18 @@ class Changes:
     failed: DataFrame
 
 
-def missing_ids(parsed: DataFrame, ids: DataFrame) -> DataFrame:
+def missing_ids(parsed: DataFrame, ids: DataFrame, held: list[DataFrame] | None = None) -> DataFrame:
     """Ids that updates of a parsed batch name and neither the target nor its new rows hold.
 
-    New rows count, so an update may follow its insert in one batch.
+    New rows count, so an update may follow its insert in one batch.  Frames
+    persisted on the way are added to ``held``; without it nothing is persisted
+    and Spark decides on the joins alone.
     """
-    return unknown_ids(parsed.where(F.col("operation") == "update"), ids, new_rows(parsed))
+    named = named_ids(parsed.where(F.col("operation") == "update"))
+    if held is not None:
+        held.append(named.persist(StorageLevel.MEMORY_AND_DISK))
+        named = small_side(named, "id")
+    return unknown_ids(named, ids, new_rows(parsed))
 
 
 def plan_changes(parsed: DataFrame, unknown: DataFrame, spec: ApplySpec) -> Changes:
@@ -62,7 +69,7 @@ def apply_log(log: DataFrame, target: DataFrame, spec: ApplySpec) -> tuple[DataF
     The log is parsed once into the scratch folder: parsing costs more than all
     that follows, and a filter on its result would otherwise repeat it.
     """
-    parsed = stage(parse_log(log, spec.id_field), "parsed", "operation")
+    parsed = stage(parse_log(log, spec.id_field), "parsed")
     changes = plan_changes(parsed, missing_ids(parsed, target), spec)
     rows = target.unionByName(changes.inserts)
     return merge_patches(rows, changes.patches), changes.failed
@@ -99,7 +106,7 @@ def apply_batch(
     held = [parse_log(log, spec.id_field).persist(StorageLevel.MEMORY_AND_DISK)]
     parsed = held[0]
     try:
-        unknown = missing_ids(parsed, target.ids(before=batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
+        unknown = missing_ids(parsed, target.ids(before=batch_id), held).persist(StorageLevel.MEMORY_AND_DISK)
         held.append(unknown)
         changes = plan_changes(parsed, unknown, spec)
         failed = changes.failed.persist(StorageLevel.MEMORY_AND_DISK)

@@ -12,8 +12,9 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.functions.keys import message_key
 from tideline.operators.incremental import progress_columns, pull
-from tideline.operators.messages import to_messages
+from tideline.operators.messages import colocate, contiguous, to_messages
 from tideline.sources.progress import ProgressStore
 from tideline.specs import Progress, PullSettings, TableSpec
 
@@ -33,6 +34,10 @@ def publish_rows(
     The position is observed by the publishing job itself, so it belongs to the
     rows that were written even if the source changes meanwhile.
     """
+    if settings.placement != "as_read":
+        place = colocate if settings.placement == "colocated" else contiguous
+        keyed = rows.withColumn("_key", message_key(rows.schema, spec))
+        rows = place(keyed, "_key", [spec.ts_col, spec.id_col]).drop("_key")
     seen = Observation(f"{spec.name}-{batch}")
     ts, ident = progress_columns(rows.schema, spec, settings.progress_mode)
     observed = rows.observe(seen, ts.alias("ts"), ident.alias("id"), F.count("*").alias("rows"))

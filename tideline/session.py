@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_LIMIT = 64 * 1024 * 1024
+ROW_OVERHEAD = 32
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,7 +62,16 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
-def stage(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
+def small_side(df: DataFrame, column: str, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """``df``, marked for broadcast if its only column measures less than ``limit`` bytes.
+
+    Measuring runs ``df``, so it should be persisted or staged.
+    """
+    size = df.agg(F.coalesce(F.sum(F.octet_length(column) + ROW_OVERHEAD), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= limit else df
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the scratch folder and read it back.
 
     The result no longer depends on the tasks that computed it, so it is the
@@ -67,5 +80,5 @@ def stage(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

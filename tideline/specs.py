@@ -9,6 +9,7 @@ from datetime import datetime
 # format and of the settings rely on.
 KEY_MODES = ("default", "round_robin", "field_based")
 PRECISIONS = ("micros", "second")
+PLACEMENTS = ("as_read", "colocated", "contiguous")
 WIRE_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DEFAULT_BATCH_SIZE = 20
 DEFAULT_FAST_INTERVAL = "500 milliseconds"
@@ -72,7 +73,13 @@ class Progress:
 
 @dataclass(frozen=True)
 class PullSettings:
-    """How far back, how close to now and how much one pull reads."""
+    """How far back, how close to now and how much one pull reads.
+
+    ``placement`` is how rows are spread over the tasks that publish them:
+    ``as_read`` needs no shuffle; ``colocated`` has one task write all messages
+    of a key in processing order; ``contiguous`` does so too but cuts a key that
+    is too large for one task into consecutive ranges.
+    """
 
     topic_prefix: str = ""
     batch_size: int | None = None
@@ -80,6 +87,11 @@ class PullSettings:
     delay_seconds: int = 0
     header: str = DEFAULT_HEADER
     progress_mode: str = "atomic"
+    placement: str = "as_read"
+
+    def __post_init__(self):
+        if self.placement not in PLACEMENTS:
+            raise ValueError(f"placement must be one of {PLACEMENTS}, got {self.placement!r}")
 
 
 @dataclass(frozen=True)
