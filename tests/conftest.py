@@ -14,7 +14,7 @@ SAMPLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8)
+    session = local_session(8, shuffle_partitions=4)
     yield session
     session.stop()
 

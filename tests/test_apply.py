@@ -160,11 +160,6 @@ MIXED = [
     '{"sys_id":"1f21795dc1ebbf9d2104882c481e41d5","name":"changed"}',
     '{"name":"first"}',
 ]
-AFTER = {
-    "a": {"state": "2", "x": "keep"},
-    "1f21795dc1ebbf9d2104882c481e41d5": {"name": "changed"},
-    "d2ae6f87ab8f71b6a5ab9d1cff43f8ee": {"name": "new"},
-}
 
 
 @pytest.fixture
@@ -176,7 +171,7 @@ def test_apply_counts_new_rows_as_known(spark, target_rows):
     rows, failed = apply_log(log_of(spark, MIXED), target_rows, ApplySpec("incident"))
     found = recs(rows)
     assert found["1f21795dc1ebbf9d2104882c481e41d5"] == {"name": "changed"}
-    assert found["a"] == AFTER["a"] and len(found) == 3
+    assert found["a"] == {"state": "2", "x": "keep"} and len(found) == 3
     assert sorted((r.offset, r.error.split(":")[0]) for r in failed.collect()) == [
         (1, "updating record nobody"),
         (3, "deserializing record"),
@@ -189,15 +184,15 @@ def _setup(spark, folder, target_rows):
     return target, dead
 
 
-@pytest.mark.parametrize("fields", [(), ("state", "name", "x")])
-def test_replay_changes_nothing(spark, folder, target_rows, fields):
+def test_replay_changes_nothing(spark, folder, target_rows):
     target, dead = _setup(spark, folder, target_rows)
-    spec = ApplySpec("incident", fields=fields)
+    spec = ApplySpec("incident", fields=("state", "name", "x"))
     for _ in range(2):
         failures = apply_batch(log_of(spark, MIXED), 0, target, spec, now=NOW, dead=dead, metrics_path=f"{folder}/counts")
         assert failures == 2
-        assert recs(target.read())["1f21795dc1ebbf9d2104882c481e41d5"] == {"name": "changed"}
-        assert len(recs(target.read())) == 3 and dead.read(spark).count() == 2
+        found = recs(target.read())
+        assert found["1f21795dc1ebbf9d2104882c481e41d5"] == {"name": "changed"}
+        assert len(found) == 3 and dead.read(spark).count() == 2
     counts = {(r.metric, r.label): r.value for r in spark.read.parquet(f"{folder}/counts").collect()}
     assert counts == {
         ("sink_records_total", "update"): 2,
@@ -217,7 +212,7 @@ def test_later_batches_and_compaction(spark, folder, target_rows):
     target.compact(1)
     assert target.compacted == 1 and recs(target.read()) == before
     target.compact(2)
-    assert recs(target.read()) == before and recs(RecordTable(spark, f"{folder}/target").read()) == before
+    assert recs(RecordTable(spark, f"{folder}/target").read()) == before
 
 
 def test_partial_failure_policy(spark, folder, target_rows):

@@ -32,11 +32,13 @@ class ProgressStore:
         self._pending: dict[str, Progress] = {}
         create_if_missing(spark, path, PROGRESS_SCHEMA, "table", "slot")
 
+    def _slots(self) -> DataFrame:
+        return self._spark.read.schema(PROGRESS_SCHEMA).parquet(self._path)
+
     def stored(self) -> DataFrame:
         """The newest ``(table, ts, last_identifier, version)`` of each table."""
-        rows = self._spark.read.schema(PROGRESS_SCHEMA).parquet(self._path)
         newest = F.max_by(F.struct("ts", "last_identifier", "version"), "version").alias("p")
-        return rows.groupBy("table").agg(newest).select("table", "p.*")
+        return self._slots().groupBy("table").agg(newest).select("table", "p.*")
 
     def load(self, specs: Iterable[TableSpec]) -> DataFrame:
         """One row per spec; a table without progress has NULLs."""
@@ -44,7 +46,7 @@ class ProgressStore:
         return names.join(self.stored(), "table", "left")
 
     def _row(self, table: str):
-        return self.stored().where(F.col("table") == table).first()
+        return self._slots().where(F.col("table") == table).orderBy(F.desc("version")).first()
 
     def get(self, table: str) -> Progress:
         if table in self._pending:
