@@ -5,7 +5,7 @@ import pytest
 from plans import metadata, plan
 from pyspark.sql import functions as F
 
-from tideline.functions.timestamps import is_bad_ts, strict_ts
+from tideline.functions.timestamps import is_bad_ts, strict_ts, whole_second
 from tideline.operators.incremental import advance, bounds, lag_seconds, late_rows, pull
 from tideline.operators import numbering
 from tideline.operators.numbering import assign_batches
@@ -126,11 +126,22 @@ def test_advance_modes(spark):
 
 
 def test_strict_timestamps(spark):
-    texts = ["2024-06-15 14:30:00", "2024-06-15 14:30:00.5", "2024-06-15", "2024-6-15 1:30:00", None]
+    texts = ["2024-06-15 14:30:00", "2024-06-15 14:30:00.5", "2024-06-15", "2024-6-15 1:30:00", "2024-06-15 14:30:00\n", None]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(strict_ts("t").alias("p"), is_bad_ts("t").alias("b"))
     rows = df.collect()
-    assert [r.p for r in rows] == [datetime(2024, 6, 15, 14, 30), None, None, None, None]
-    assert [r.b for r in rows] == [False, True, True, True, False]
+    assert [r.p for r in rows] == [datetime(2024, 6, 15, 14, 30), None, None, None, None, None]
+    assert [r.b for r in rows] == [False, True, True, True, True, False]
+
+
+def test_whole_seconds_in_any_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        gap = datetime(2024, 3, 10, 2, 30, 0)
+        df = spark.createDataFrame([(gap + timedelta(microseconds=250000), str(gap))], "ts timestamp_ntz, text string")
+        row = df.select(whole_second(F.col("ts")).alias("t"), strict_ts("text").alias("p")).first()
+        assert (row.t, row.p) == (gap, gap)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_lag(spark):

@@ -154,7 +154,7 @@ def land(spark, folder, batch, *values, topic="t"):
 def start_apply(spark, folder, **kwargs):
     target, dead = RecordTable(spark, f"{folder}/target"), DeadLetterTable(f"{folder}/dead")
     spec = ApplySpec("x", commit_on_partial_failure=kwargs.pop("commit", True))
-    log = stream_files(spark, f"{folder}/log")
+    log = stream_files(spark, f"{folder}/log", files_per_trigger=1)
     stream_apply(log, "t", target, spec, f"{folder}/cp", dead=dead, clock=lambda: NOW).awaitTermination()
     return target, dead
 
@@ -186,7 +186,7 @@ def test_stream_apply_repeats_a_batch_that_may_not_fail(spark, folder):
 def test_kafka_options():
     options = kafka_options("h:9092", ["a", "b"], **{"kafka.security.protocol": "SASL_SSL"})
     assert options["startingOffsets"] == "earliest" and options["subscribe"] == "a,b"
-    assert options["maxOffsetsPerTrigger"] == "100" and options["kafka.security.protocol"] == "SASL_SSL"
+    assert kafka_options("h:9092", ["a"], 100)["maxOffsetsPerTrigger"] == "100" and options["kafka.security.protocol"] == "SASL_SSL"
     assert "maxOffsetsPerTrigger" not in kafka_options("h:9092", ["a"], None)
     with pytest.raises(ValueError):
         kafka_options("h:9092", [])

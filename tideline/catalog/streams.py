@@ -60,7 +60,7 @@ def _streamed(spark, folder):
     event_log(spark, folder).withColumn("topic", F.lit("customers")).write.parquet(f"{base}/log")
     target, dead = RecordTable(spark, f"{base}/target"), DeadLetterTable(f"{base}/dead")
     target.create(_customers(spark, folder))
-    log = stream_files(spark, f"{base}/log", files_per_trigger=1000)
+    log = stream_files(spark, f"{base}/log")
     stream_apply(
         log, "customers", target, ApplySpec("customers"), f"{base}/checkpoint", dead=dead
     ).awaitTermination()

@@ -8,13 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.specs import WIRE_TS_FORMAT
+from tideline.specs import WIRE_TS_PATTERN
 
 
 def strict_ts(text: Column | str) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` as TIMESTAMP_NTZ; NULL for any other text."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.try_to_timestamp(text, F.lit(WIRE_TS_FORMAT)).cast("timestamp_ntz")
+    return F.when(text.rlike(WIRE_TS_PATTERN), text.try_cast("timestamp_ntz"))
 
 
 def is_bad_ts(text: Column | str) -> Column:
@@ -26,7 +26,13 @@ def is_bad_ts(text: Column | str) -> Column:
 def position_ts(name: str, dtype: T.DataType, precision: str) -> Column:
     """The timestamp of a row as progress sees it; NULL where it cannot be read."""
     ts = strict_ts(name) if isinstance(dtype, T.StringType) else F.col(name).cast("timestamp_ntz")
-    return F.date_trunc("second", ts).cast("timestamp_ntz") if precision == "second" else ts
+    return whole_second(ts) if precision == "second" else ts
+
+
+def whole_second(ts: Column) -> Column:
+    """A TIMESTAMP_NTZ without its fraction, in no time zone."""
+    second = F.date_part(F.lit("SECOND"), ts)
+    return ts - F.make_dt_interval(secs=second - F.floor(second))
 
 
 def naive_utc(value: datetime) -> datetime:

@@ -42,7 +42,7 @@ def scratch_root(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
     if not context.master.startswith("local"):

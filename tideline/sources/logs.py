@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.specs import DEFAULT_RECORDS_PER_TRIGGER
+from tideline.specs import DEFAULT_FILES_PER_TRIGGER, DEFAULT_RECORDS_PER_TRIGGER
 
 LOG_SCHEMA = "topic string, partition int, offset bigint, timestamp timestamp_ntz, value string"
 
@@ -22,6 +22,8 @@ def kafka_options(
 ) -> dict[str, str]:
     """Reader options: from the earliest offset, in bounded batches.
 
+    A batch costs a few seconds whatever its size, so the bound is high by
+    default; a target that takes records one by one may want 100.
     ``extra`` carries connector settings such as ``kafka.security.protocol``.
     """
     if not topics:
@@ -56,7 +58,7 @@ def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return _as_log(spark.read.format("kafka").options(**batch).load())
 
 
-def stream_files(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+def stream_files(spark: SparkSession, path: str, files_per_trigger: int = DEFAULT_FILES_PER_TRIGGER) -> DataFrame:
     return _as_log(
         spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
     )

@@ -11,11 +11,13 @@ KEY_MODES = ("default", "round_robin", "field_based")
 PRECISIONS = ("micros", "second")
 PLACEMENTS = ("as_read", "colocated", "contiguous")
 WIRE_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+WIRE_TS_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 DEFAULT_BATCH_SIZE = 20
 DEFAULT_FAST_INTERVAL = "500 milliseconds"
 DEFAULT_SLOW_INTERVAL = "30 seconds"
 DEFAULT_INITIAL_HOURS = -1
-DEFAULT_RECORDS_PER_TRIGGER = 100
+DEFAULT_RECORDS_PER_TRIGGER = 1_000_000
+DEFAULT_FILES_PER_TRIGGER = 1000
 DEFAULT_WRITE_PARALLELISM = 5
 DEFAULT_ID_FIELD = "sys_id"
 DEFAULT_HEADER = "source_table"
