@@ -67,9 +67,9 @@ def test_flat_strings(spark):
 
 def test_topic_names(spark):
     row = spark.range(1).select(
-        topic_name("", "sn", "incident").alias("a"), topic_name("own", "sn", "incident").alias("b")
+        topic_name("", "p", "incident").alias("a"), topic_name("own", "p", "incident").alias("b")
     ).first()
-    assert (row.a, row.b) == ("sn.incident", "own")
+    assert (row.a, row.b) == ("p.incident", "own")
 
 
 def test_messages(records):

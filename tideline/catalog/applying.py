@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.catalog.base import Query, table
 from tideline.operators.apply import (
+    LOG_ORDER,
     dead_letters,
     fold_patches,
     merge_columns,
@@ -143,12 +144,12 @@ APPLIED = f"""
     WHERE NOT EXISTS (SELECT 1 FROM patch WHERE patch.id = t.id AND patch.field = t.field)"""
 
 
-def order_patches(spark, folder, fields=()):
-    return fold_patches(stage(parse_log(order_log(spark, folder), ID), "parsed"), fields=fields)
+def order_updates(spark, folder):
+    return parse_log(order_log(spark, folder), ID).select("id", "rec", *LOG_ORDER)
 
 
 def _fold(fields=()):
-    return lambda spark, folder: record_fields(order_patches(spark, folder, fields))
+    return lambda spark, folder: record_fields(fold_patches(order_updates(spark, folder), fields=fields))
 
 
 def order_records(spark, folder):
@@ -156,11 +157,13 @@ def order_records(spark, folder):
 
 
 def _merge(spark, folder):
-    return record_fields(merge_patches(order_records(spark, folder), order_patches(spark, folder)))
+    folded = fold_patches(stage(order_updates(spark, folder), "parsed"))
+    return record_fields(merge_patches(order_records(spark, folder), folded))
 
 
 def _merge_columns(spark, folder):
-    return merge_columns(table(spark, folder, "orders"), "o_orderkey", order_patches(spark, folder, ("o_orderstatus",)))
+    folded = fold_patches(stage(order_updates(spark, folder), "parsed"), fields=("o_orderstatus",))
+    return merge_columns(table(spark, folder, "orders"), "o_orderkey", folded)
 
 
 def _parsed(spark, folder):
