@@ -152,6 +152,9 @@ def test_lag(spark):
 def test_late_rows(spark, boundary):
     published = boundary.where("id in ('old', 'abc122')")
     assert ids(late_rows(boundary, SPEC, Progress(T0, "abc123"), published)) == ["abc123"]
+    only_tied = boundary.where("id = 'abc122'")
+    assert ids(late_rows(boundary, SPEC, Progress(T0, "abc123"), only_tied)) == ["abc123", "old"]
+    assert ids(late_rows(boundary, SPEC, Progress(T0, "abc123"), only_tied, since=T0)) == ["abc123"]
 
 
 def test_numbering_with_one_hot_timestamp(spark, monkeypatch):

@@ -157,11 +157,15 @@ def lag_seconds(df: DataFrame, by: str, ts_col: str, now: datetime) -> DataFrame
     return df.groupBy(by).agg((at - F.unix_timestamp(newest)).alias("lag_seconds"))
 
 
-def late_rows(df: DataFrame, spec: TableSpec, progress: Progress, published: DataFrame) -> DataFrame:
+def late_rows(
+    df: DataFrame, spec: TableSpec, progress: Progress, published: DataFrame, since: datetime | None = None
+) -> DataFrame:
     """Rows at or before ``progress`` that were never published.
 
     They arrived later than the delay allowed for, so no further pull returns
-    them.  ``published`` needs the identifier and timestamp columns.
+    them.  ``published`` needs the identifier and timestamp columns.  ``since``
+    leaves out rows from before it, so that a regular audit need not read the
+    whole history again.
     """
     ts, ident = spec.ts_col, spec.id_col
     schema = df.schema
@@ -169,4 +173,6 @@ def late_rows(df: DataFrame, spec: TableSpec, progress: Progress, published: Dat
     tied = Clause().where(eq(ts, progress.ts)).where(le(ident, progress.last_identifier))
     passed = df.where(Clause().where(is_not_empty(ident)).on(schema) & before.union(tied).on(schema))
     sent = published.where(le(ts, progress.ts)(published.schema)).select(ident, ts)
+    if since is not None:
+        passed, sent = (side.where(ge(ts, since)(side.schema)) for side in (passed, sent))
     return passed.join(sent, [ident, ts], "left_anti")
