@@ -129,6 +129,12 @@ class Filter:
         return np.where(level > 1, out * MEAN_OF_LEVEL, out)
 
 
+def _either(parts: pa.Table) -> pa.Table:
+    """The bits of one segment that several tasks have set."""
+    bits = np.bitwise_or.reduce([np.frombuffer(b, dtype=np.uint8) for b in parts["bits"].to_pylist()])
+    return pa.table({"segment": parts["segment"][:1], "bits": pa.array([bits.tobytes()], pa.binary())})
+
+
 def build_filter(counts: DataFrame) -> Filter:
     """The filter over all counts; the driver gets one row per power of two, then the bits themselves."""
     level = F.floor(F.log2("n") + F.lit(1e-9)).cast("int") + 1
@@ -166,9 +172,10 @@ def build_filter(counts: DataFrame) -> Filter:
 
     importable(counts.sparkSession)
     out = np.zeros(1 << (size_log - 3), dtype=np.uint8)
-    for row in counts.mapInArrow(run, "segment bigint, bits binary").toLocalIterator():
-        at = row["segment"] * block
-        out[at : at + block] |= np.frombuffer(row["bits"], dtype=np.uint8)
+    parts = counts.mapInArrow(run, "segment bigint, bits binary")
+    whole = parts.groupBy("segment").applyInArrow(_either, "segment bigint, bits binary").toArrow()
+    for segment, bits in zip(whole["segment"].to_pylist(), whole["bits"].to_pylist(), strict=True):
+        out[segment * block : (segment + 1) * block] = np.frombuffer(bits, dtype=np.uint8)
     return Filter(out, size_log)
 
 
