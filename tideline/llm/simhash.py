@@ -8,8 +8,7 @@ a key they share:
 * one bit each: (one of six of the left, the nearest of the other) and (the nearest, one of six);
 * two bits in the first: one of the six of either, and the nearest of the second.
 
-``exact_keys`` makes 18 keys to be found by and 33 to look for, with no loss up to 4 bits;
-``wide_keys`` makes 108 of both kinds, with no loss up to 5 bits and few up to 7.
+``exact_keys`` makes 18 keys to be found by and 33 to look for, with no loss up to 4 bits.
 
 Links are found in two steps.  First every fingerprint is compared with the smallest one under each key; the
 components of those links hold nearly all of a dense group.  Then fingerprints of different components
@@ -102,45 +101,58 @@ def _segments(fp: np.ndarray) -> list[np.ndarray]:
     return [x.astype(np.int64) for x in found]
 
 
-def exact_keys(fp: np.ndarray, probe: bool) -> np.ndarray:
-    """Keys, one row per fingerprint; some of a row may be equal."""
-    parts, out = _segments(fp), []
+def exact_keys(fp: np.ndarray, probe: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, alternative), a row for each fingerprint; some keys of a row may be equal.
+
+    A key is an alternative if its left index is not that of the nearest codeword.
+    """
+    parts, out, other = _segments(fp), [], []
     for k in range(3):
         left, right = parts[k], parts[(k + 1) % 3]
         out.append(k << 24 | left << 12 | right[:, :1])
+        other.append(left != left[:, :1])
         if probe:
             out.append(k << 24 | left[:, :1] << 12 | right[:, 1:])
-    return np.concatenate(out, axis=1)
-
-
-def wide_keys(fp: np.ndarray, probe: bool) -> np.ndarray:  # noqa: ARG001 both sides are alike
-    parts = _segments(fp)
-    return np.concatenate([(k << 24 | parts[k][:, :, None] << 12 | parts[(k + 1) % 3][:, None, :]).reshape(len(fp), -1) for k in range(3)], axis=1)
+            other.append(np.zeros((len(fp), 5), dtype=bool))
+    return np.concatenate(out, axis=1), np.concatenate(other, axis=1)
 
 
-def keyed(classes: DataFrame, keys: Callable[[np.ndarray, bool], np.ndarray], probe: bool) -> DataFrame:
+def keyed(classes: DataFrame, probe: bool) -> DataFrame:
     """The rows of ``classes`` (all bigint, with ``fp``), once for each different key."""
     names = classes.columns
 
     def build(batch: pa.RecordBatch) -> dict:
         columns = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
-        found = np.sort(keys(columns["fp"].view(np.uint64), probe), axis=1)
+        keys, other = exact_keys(columns["fp"].view(np.uint64), probe)
+        found = np.sort(keys << 1 | other, axis=1)
         new = np.ones(found.shape, dtype=bool)
-        new[:, 1:] = found[:, 1:] != found[:, :-1]
+        new[:, 1:] = found[:, 1:] >> 1 != found[:, :-1] >> 1
         row = np.nonzero(new)[0]
-        return {"key": found[new], **{n: x[row] for n, x in columns.items()}}
+        return {"key": found[new] >> 1, "alternative": (found[new] & 1).astype(bool), **{n: x[row] for n, x in columns.items()}}
 
-    return map_batches(classes, ", ".join(["key bigint", *(f"{n} bigint" for n in names)]), build)
+    return map_batches(classes, ", ".join(["key bigint", "alternative boolean", *(f"{n} bigint" for n in names)]), build)
 
 
 def _side(df: DataFrame, side: str) -> DataFrame:
     return df.select("key", *(F.col(c).alias(f"{c}_{side}") for c in df.columns if c != "key"))
 
 
+def _one_combination(a: str, b: str) -> Column:
+    """Of the keys that a pair within reach must share, only the first counts: a pair is not given once for each."""
+    differing = F.col(f"fp_{a}").bitwiseXOR(F.col(f"fp_{b}"))
+    wrong = [F.bit_count(F.shiftrightunsigned(differing, at).bitwiseAND(F.lit((1 << size) - 1))) for at, size in CUTS]
+    used = F.shiftright("key", 24)
+    first = F
+    for k in range(3):
+        left, right = wrong[k], wrong[(k + 1) % 3]
+        first = first.when((left <= 1) & (right <= 1), (used == k) & ~F.col(f"alternative_{b}"))
+        first = first.when((left <= 2) & (right == 0), used == k)
+    return first.otherwise(F.lit(True))
+
+
 def link_components(
     classes: DataFrame,
     near: Callable[[str, str], Column],
-    keys: Callable[[np.ndarray, bool], np.ndarray] = exact_keys,
     verify: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(node, component) of classes: ``node`` unique, ``fp``, and what else ``near`` compares, all bigint.
@@ -150,15 +162,15 @@ def link_components(
     """
     verify = verify or (lambda pairs: pairs)
     columns = classes.columns
-    lowest = keyed(classes, keys, False).groupBy("key").agg(F.min(F.struct("node", *(c for c in columns if c != "node"))).alias("low"))
+    lowest = keyed(classes, False).groupBy("key").agg(F.min(F.struct("node", *(c for c in columns if c != "node"))).alias("low"))
     lowest = lowest.select("key", *(F.col(f"low.{c}").alias(f"{c}_a") for c in columns))
-    star = _side(keyed(classes, keys, True), "b").join(lowest, "key").where((F.col("node_a") != F.col("node_b")) & near("a", "b"))
+    star = _side(keyed(classes, True), "b").join(lowest, "key").where((F.col("node_a") != F.col("node_b")) & near("a", "b"))
     first = stage(components(verify(star.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())), "groups")
 
     labelled = classes.join(first.withColumnRenamed("component", "label"), "node", "left")
     labelled = stage(labelled.withColumn("label", F.coalesce("label", "node")), "labelled")
-    base, probe = _side(keyed(labelled, keys, False), "a"), _side(keyed(labelled, keys, True), "b")
-    rest = probe.join(base, "key").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & near("a", "b"))
+    base, probe = _side(keyed(labelled, False), "a"), _side(keyed(labelled, True), "b")
+    rest = probe.join(base, "key").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & near("a", "b") & _one_combination("a", "b"))
     pairs = verify(rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
     label = labelled.select("node", "label")
     across = pairs.join(label.toDF("a", "x"), "a").join(label.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
@@ -194,64 +206,73 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 SIMILARITY = 0.8
-WIDE_DISTANCE = 7
-SHINGLE_DISTANCE = 22
-"""Fingerprints over shingles of pairs at the similarity asked for differ in about 10 bits, by chance in hardly ever more than this."""
+COPY_DISTANCE = 5
+LONG_WORDS = 16
+"""64-bit words of the long fingerprint that candidates are checked by."""
+SHORT_WORDS, SHORT_DISTANCE = 4, 46
+"""So many words of it travel with the keys; pairs at 0.8 differ in 39 of their 256 bits, and in more than 46 once in ten times."""
+TOLERANCE = 0.02
+"""How far an estimate from 1,024 bits may fall short: a bit less than its standard deviation at 0.8."""
 
 
-def _similar(docs: DataFrame, words: int, similarity: float) -> Callable[[DataFrame], DataFrame]:
-    """Keeps pairs (a, b) of rows whose sets of word shingles have that Jaccard similarity, from the whole texts of the rows named."""
+def _long_fingerprint(h: np.ndarray) -> np.ndarray:
+    return np.array([fingerprint(mix(h ^ np.uint64(k * 0xA0761D6478BD642F % (1 << 64)))) for k in range(LONG_WORDS)], dtype=np.uint64)
 
-    def build(batch: pa.RecordBatch) -> dict:
-        own = []
-        for chunk in chunks(batch.column(1), NOT_SPACE):
-            h, text, _ = chunk.shingles(words)
-            cuts = np.searchsorted(text, np.arange(chunk.size + 1))
-            own += [np.unique(h[x:y]).view(np.int64) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-        return {"node": batch.column(0), "shingles": pa.array(own, pa.list_(pa.int64()))}
+
+def _similar(classes: DataFrame, similarity: float) -> Callable[[DataFrame], DataFrame]:
+    """Keeps pairs (a, b) of nodes of ``classes`` (node, size, bits) whose sets of shingles are about that similar.
+
+    The share of differing bits gives the angle between the shingle counts, its cosine and the sizes give the shingles in common.
+    """
+    differing = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs, "pairs")
-        named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        sets = stage(map_batches(docs.join(named, "node", "left_semi").select("node", "text"), "node bigint, shingles array<bigint>", build), "shingles")
-        both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-        shared = F.size(F.array_intersect("x", "y"))
-        return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared) - 1e-9).select("a", "b")
+        side = lambda s: classes.select(*(F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "bits"))).withColumnRenamed(f"node_{s}", s)
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        common = F.cos(differing("bits_a", "bits_b") * (np.pi / 64 / LONG_WORDS)) * F.sqrt(F.col("size_a") * F.col("size_b"))
+        return both.where(common >= (similarity - TOLERANCE) * (F.col("size_a") + F.col("size_b") - common)).select("a", "b")
 
     return verify
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, component): for each document that is not the only one of its group, by the integer ids of ``docs``.
+    """(node, component): for each document, by the integer ids of ``docs``, the smallest id of its group.
 
-    Documents whose sets of shingles of ``words`` words have a Jaccard similarity of at least ``similarity`` are linked.  At 0.8, fingerprints
-    over such shingles differ in 10 bits or so, too many for the keys; those over single words differ in two to four.  So pairs are found by
-    word fingerprints, up to seven bits with the wide keys, and each is checked on its shingles.  Texts that are equal once lower-cased and
-    cut into words are one class from the start; texts without a word are one class.  Rows with a null id are left out; repeated ids count once.
+    Documents whose shingles of ``words`` words have a Jaccard similarity of at least ``similarity`` are linked.  At 0.8, 64-bit fingerprints
+    over such shingles differ in 10 bits or so, too many for the keys; those over single words differ in two, and in four or
+    fewer for over nine pairs of ten.  So pairs are found by word fingerprints (all up to four bits, and those of five that share a
+    key) and each is checked by fingerprints of 1,024 bits over its shingles.  Texts that are equal once lower-cased and cut into words are
+    one class from the start; texts without a word are one class.  Rows with a null id are left out; repeated ids count once.
     """
     wanted = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).alias("text"))
 
     def build(batch: pa.RecordBatch) -> dict:
-        column, whole = batch.column(1), np.zeros(batch.num_rows, dtype=np.uint64)
-        near = np.zeros(batch.num_rows, dtype=np.uint64)
-        wide = np.zeros(batch.num_rows, dtype=np.uint64)
-        for chunk in chunks(column, NOT_SPACE):
-            h = chunk.hashes()
+        near, whole, size = (np.zeros(batch.num_rows, dtype=np.uint64) for _ in range(3))
+        bits = np.zeros((batch.num_rows, LONG_WORDS), dtype=np.uint64)
+        for chunk in chunks(batch.column(1), NOT_SPACE):
+            h, cuts = chunk.hashes(), chunk.bounds
             run, owner, _ = chunk.shingles(words, h)
-            cuts, runs = chunk.bounds, np.searchsorted(owner, np.arange(chunk.size + 1))
+            runs = np.searchsorted(owner, np.arange(chunk.size + 1))
+            size[chunk.first : chunk.first + chunk.size] = np.diff(runs)
             for k in range(chunk.size):
                 mine = h[cuts[k] : cuts[k + 1]]
-                near[chunk.first + k], wide[chunk.first + k] = fingerprint(mine), fingerprint(run[runs[k] : runs[k + 1]])
+                near[chunk.first + k] = fingerprint(mine)
+                bits[chunk.first + k] = _long_fingerprint(run[runs[k] : runs[k + 1]])
                 order = np.arange(1, 2 * len(mine), 2, dtype=np.uint64)
                 whole[chunk.first + k] = np.bitwise_xor.reduce(mix(mine * order)) if len(mine) else 0
-        return {"node": batch.column(0), "fp": near.view(np.int64), "wide": wide.view(np.int64), "whole": whole.view(np.int64)}
+        lists = pa.FixedSizeListArray.from_arrays(pa.array(bits.view(np.int64).ravel()), LONG_WORDS).cast(pa.list_(pa.int64()))
+        return {"node": batch.column(0), "fp": near.view(np.int64), "whole": whole.view(np.int64), "size": size.view(np.int64), "bits": lists}
 
-    signed = stage(map_batches(wanted, "node bigint, fp bigint, wide bigint, whole bigint", build), "signed")
-    classes = stage(signed.groupBy("fp", "wide", "whole").agg(F.min("node").alias("node")), "classes")
+    signed = stage(map_batches(wanted, "node bigint, fp bigint, whole bigint, size bigint, bits array<bigint>", build), "signed")
+    classes = signed.groupBy("fp", "whole").agg(F.min(F.struct("node", "size", "bits")).alias("one")).select("fp", "whole", "one.*")
+    classes = stage(classes, "classes")
+    short = [f"b{k}" for k in range(SHORT_WORDS)]
 
     def near(a: str, b: str) -> Column:
-        return within(WIDE_DISTANCE)(a, b) & (F.bit_count(F.col(f"wide_{a}").bitwiseXOR(F.col(f"wide_{b}"))) <= SHINGLE_DISTANCE)
+        differing = sum((F.bit_count(F.col(f"{c}_{a}").bitwiseXOR(F.col(f"{c}_{b}"))) for c in short), F.lit(0))
+        return within(COPY_DISTANCE)(a, b) & (differing <= SHORT_DISTANCE)
 
-    group = link_components(classes.select("node", "fp", "wide"), near, wide_keys, _similar(wanted, words, similarity))
-    group = classes.join(group, "node", "left").select("fp", "wide", "whole", F.coalesce("component", "node").alias("component"))
-    return signed.join(stage(group, "groups"), ["fp", "wide", "whole"]).select("node", "component").distinct()
+    nodes = classes.select("node", "fp", *(F.col("bits")[k].alias(c) for k, c in enumerate(short)))
+    group = link_components(nodes, near, _similar(classes, similarity))
+    group = classes.join(group, "node", "left").select("fp", "whole", F.coalesce("component", "node").alias("component"))
+    return signed.select("node", "fp", "whole").join(stage(group, "groups"), ["fp", "whole"]).select("node", "component").distinct()
