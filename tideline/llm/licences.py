@@ -79,8 +79,8 @@ NEUTRAL = ("Copyright",)
 """Identifiers that may stand between those of a rule."""
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MENTION = "licen|copyright|©|(c)|version|permission|software|redistribution|public domain|all rights|neither the|cc by|creative commons|warrant".split("|")
-END = r"[.!?;:]+[ \t]+|[.!?;:]*[\r\n]+|[.!?;:]+$"
-DROPPED = r"[\"'“”*#]|//"
+END = r"[.!?]+[ \t]+|[.!?;:]*[\r\n]+|[.!?;:]+$"
+DROPPED = r"[\"'“”*#;]|//"
 BLANKS = r"[ \t\x0b\x0c]+"
 
 
