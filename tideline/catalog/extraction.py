@@ -173,6 +173,11 @@ QUERIES = {
         f"""SELECT place, try_strptime(ts, '%Y-%m-%d %H:%M:%S') AS parsed,
              ts IS NOT NULL AND try_strptime(ts, '%Y-%m-%d %H:%M:%S') IS NULL AS is_bad FROM ({UNLABELLED})""",
     ),
+    "late_rows_second": Query(
+        lambda s, f: late_rows(table(s, f, "events"), EVENT_SECONDS, EVENTS_AT, table(s, f, "events").where("event_type <> 'error'")),
+        """SELECT * FROM events WHERE event_type = 'error' AND (ts < TIMESTAMP '2024-01-01 08:30:05'
+           OR (ts < TIMESTAMP '2024-01-01 08:30:06' AND event_id <= 126))""",
+    ),
     "late_rows": Query(
         _late,
         """SELECT * FROM orders WHERE o_orderstatus = 'P' AND (o_orderdate < TIMESTAMP '1998-01-01'

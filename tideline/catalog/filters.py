@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tideline.catalog.base import Query, table
 from tideline.functions.predicates import Clause, is_empty_string
-from tideline.operators.reads import project, read_records, strip_links
+from tideline.operators.reads import positions, project, read_records, strip_links
 from tideline.sources.tables import decode_envelopes
 from tideline.specs import TableSpec
 
@@ -152,12 +152,16 @@ QUERIES = {
         "SELECT * FROM orders",
     ),
     "order_asc": Query(
-        _where("orders", None, order=[("o_custkey", "asc"), ("o_orderkey", "asc")], limit=40),
-        "SELECT * FROM orders ORDER BY o_custkey, o_orderkey LIMIT 40",
+        lambda s, f: positions(table(s, f, "orders"), [("o_custkey", "asc"), ("o_orderkey", "asc")]),
+        "SELECT *, row_number() OVER (ORDER BY o_custkey, o_orderkey) AS row_no FROM orders",
     ),
     "order_desc": Query(
-        _where("orders", None, order=[("o_totalprice", "desc"), ("o_orderkey", "desc")], limit=40),
-        "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 40",
+        lambda s, f: positions(table(s, f, "orders"), [("o_totalprice", "desc"), ("o_orderkey", "desc")]),
+        "SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey DESC) AS row_no FROM orders",
+    ),
+    "offset_all": Query(
+        _where("orders", None, order=[("o_orderdate", "asc"), ("o_orderkey", "asc")], offset=200),
+        "SELECT * FROM orders ORDER BY o_orderdate, o_orderkey OFFSET 200",
     ),
     "limit_zero_is_all": Query(
         _where("customer", None, order=[("c_custkey", "asc")], limit=0, offset=-1), "SELECT * FROM customer"

@@ -60,10 +60,12 @@ def operation(record: str, id_column: str) -> Column:
 
 
 def parse_error(value: str) -> Column:
-    excerpt = F.substring(F.col(value), 1, RAW_EXCERPT_CHARS)
+    excerpt = F.substring(F.coalesce(F.col(value), F.lit("")), 1, RAW_EXCERPT_CHARS)
     return F.concat(F.lit("deserializing record: not a JSON object (raw: "), excerpt, F.lit(")"))
 
 
 def insert_id(topic: str, partition: str, offset: str) -> Column:
     """The identifier given to a new row, the same each time its message is read."""
-    return F.md5(F.concat_ws("|", F.col(topic), F.col(partition).cast("string"), F.col(offset).cast("string")))
+    missing = F.raise_error(F.lit("a message without topic, partition or offset has no place to derive an identifier from"))
+    place = F.concat(F.col(topic), F.lit("|"), F.col(partition).cast("string"), F.lit("|"), F.col(offset).cast("string"))
+    return F.md5(F.when(place.isNull(), missing.cast("string")).otherwise(place))

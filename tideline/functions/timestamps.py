@@ -23,9 +23,18 @@ def is_bad_ts(text: Column | str) -> Column:
     return text.isNotNull() & strict_ts(text).isNull()
 
 
+def utc_clock(name: str) -> Column:
+    """The UTC wall clock of a TIMESTAMP, whatever the time zone of the session."""
+    since = F.make_dt_interval(secs=F.unix_micros(name).cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(7,6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
+
+
 def position_ts(name: str, dtype: T.DataType, precision: str) -> Column:
     """The timestamp of a row as progress sees it; NULL where it cannot be read."""
-    ts = strict_ts(name) if isinstance(dtype, T.StringType) else F.col(name).cast("timestamp_ntz")
+    if isinstance(dtype, T.TimestampType):
+        ts = utc_clock(name)
+    else:
+        ts = strict_ts(name) if isinstance(dtype, T.StringType) else F.col(name).cast("timestamp_ntz")
     return whole_second(ts) if precision == "second" else ts
 
 

@@ -117,7 +117,7 @@ def merge_columns(target: DataFrame, id_col: str, folded: DataFrame) -> DataFram
         *[
             F.col(f.name)
             if f.name == id_col
-            else F.when(F.map_contains_key("_patch", F.lit(f.name)), F.col("_patch")[f.name].cast(f.dataType))
+            else F.when(F.map_contains_key("_patch", F.lit(f.name)), F.col("_patch")[f.name].try_cast(f.dataType))
             .otherwise(F.col(f.name))
             .alias(f.name)
             for f in target.schema.fields

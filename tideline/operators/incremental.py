@@ -170,9 +170,12 @@ def late_rows(
     ts, ident = spec.ts_col, spec.id_col
     schema = df.schema
     before = Clause().where(lt(ts, progress.ts))
-    tied = Clause().where(eq(ts, progress.ts)).where(le(ident, progress.last_identifier))
+    after = progress.ts + timedelta(seconds=1)
+    by_second = spec.precision == "second"
+    tied = Clause().where(ge(ts, progress.ts)).where(lt(ts, after)) if by_second else Clause().where(eq(ts, progress.ts))
+    tied = tied.where(le(ident, progress.last_identifier))
     passed = df.where(Clause().where(is_not_empty(ident)).on(schema) & before.union(tied).on(schema))
-    sent = published.where(le(ts, progress.ts)(published.schema)).select(ident, ts)
+    sent = published.where((lt(ts, after) if by_second else le(ts, progress.ts))(published.schema)).select(ident, ts)
     if since is not None:
         passed, sent = (side.where(ge(ts, since)(side.schema)) for side in (passed, sent))
     return passed.join(sent, [ident, ts], "left_anti")

@@ -20,6 +20,14 @@ def ordering(order: Sequence[tuple[str, str]]) -> list[Column]:
     return [F.col(field).asc() if direction == "asc" else F.col(field).desc() for field, direction in order]
 
 
+def positions(df: DataFrame, order: Sequence[tuple[str, str]]) -> DataFrame:
+    """``df`` with ``row_no``, its place in ``order`` from 1; the order should be total."""
+    from tideline.operators.numbering import number_rows  # which itself reads tables by this module
+
+    ordering(order)
+    return number_rows(df, [F.col(field) for field, _ in order], descending=[way == "desc" for _, way in order])
+
+
 def read_records(
     df: DataFrame,
     clause: Clause | ClauseUnion | None = None,
@@ -36,6 +44,10 @@ def read_records(
     """
     if clause is not None:
         df = df.where(clause.on(df))
+    if order and offset > 0 and limit <= 0:
+        placed = positions(df, order)
+        df = placed.where(F.col("row_no") > offset).drop("row_no")
+        offset = 0
     if order:
         df = df.orderBy(*ordering(order))
     if offset > 0:

@@ -11,7 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tideline.functions.timestamps import utc_clock
 from tideline.specs import DEFAULT_FILES_PER_TRIGGER, DEFAULT_RECORDS_PER_TRIGGER
 
 LOG_SCHEMA = "topic string, partition int, offset bigint, timestamp timestamp_ntz, value string"
@@ -40,11 +42,13 @@ def kafka_options(
 
 
 def _as_log(df: DataFrame) -> DataFrame:
+    instant = isinstance(df.schema["timestamp"].dataType, T.TimestampType)
+    clock = utc_clock("timestamp") if instant else F.col("timestamp").cast("timestamp_ntz")
     return df.select(
         "topic",
         "partition",
         "offset",
-        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        clock.alias("timestamp"),
         F.col("value").cast("string").alias("value"),
     )
 
