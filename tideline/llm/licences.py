@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +81,7 @@ RULES = (
 NEUTRAL = ("Copyright",)
 """Identifiers that may stand between those of a rule."""
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Every sentence that a pattern above fits holds one of these; others need no pattern tried.
 MENTION = "licen|copyright|©|(c)|version|permission|software|redistribution|public domain|all rights|neither the|cc by|creative commons|warrant".split("|")
 END = r"[.!?]+[ \t]+|[.!?;:]*[\r\n]+|[.!?;:]+$"
 DROPPED = r"[\"'“”*#;]|//"
@@ -100,21 +104,22 @@ def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     are not read.
     """
     low = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, UPPER.lower())
-    mentioned = F.lit(False)
-    for word in MENTION:
-        mentioned = mentioned | low.contains(word)
+
+    def clean(sentence: Column) -> Column:
+        return F.btrim(F.regexp_replace(F.regexp_replace(sentence, DROPPED, ""), BLANKS, " "))
+
+    def mentions(sentence: Column) -> Column:
+        return reduce(or_, (sentence.contains(word) for word in MENTION))
 
     def named(sentence: Column) -> Column:
-        out = F.when(F.length(sentence) == 0, None)
+        out = F.when(F.lit(False), None)
         for name, pattern in SENTENCES:
             out = out.when(sentence.rlike(pattern), F.lit(name))
         return out
 
-    def clean(sentence: Column) -> Column:
-        return F.btrim(F.regexp_replace(F.regexp_replace(sentence, DROPPED, ""), BLANKS, " "))
-
-    sentences = F.when(mentioned, F.split(low, END)).otherwise(F.array().cast("array<string>"))
-    ids = F.filter(F.transform(sentences, lambda s: named(clean(s))), lambda x: x.isNotNull())
+    # one step each: an expression used in several places of a lambda is computed in each of them
+    sentences = F.filter(F.transform(F.split(low, END), clean), mentions)
+    ids = F.filter(F.transform(sentences, named), lambda x: x.isNotNull())
     counted = F.filter(F.col("ids"), lambda x: ~x.isin(*NEUTRAL))
     string = F.array_join(F.transform(counted, lambda x: F.concat(F.lit("<"), x, F.lit(">"))), "")
     matched = F.regexp_extract_all(string, F.lit(f"({ANY_RULE})"), 1)
