@@ -108,6 +108,12 @@ def test_fold(spark, fields):
     assert folded == {"a": {"state": "2", "x": "p"}, "b": {"state": "9", "y": None}}
 
 
+def test_fields_left_out_are_folded_too(spark):
+    whole = recs(fold_patches(patches_of(spark, PATCHES), order=("offset",)))
+    for fields in (["state"], ["absent"]):
+        assert recs(fold_patches(patches_of(spark, PATCHES), order=("offset",), fields=fields)) == whole
+
+
 @pytest.mark.parametrize("fields", [(), ("f0", "f1", "f2", "f3")])
 def test_fold_of_a_hot_id_equals_one_by_one(spark, fields):
     """A third of the patches is for one id; the input partitioning does not matter."""
@@ -215,6 +221,39 @@ def test_later_batches_and_compaction(spark, folder, target_rows):
     assert recs(RecordTable(spark, f"{folder}/target").read()) == before
 
 
+def test_sources_share_a_target(spark, folder, target_rows):
+    target, dead = _setup(spark, folder, target_rows)
+    spec = ApplySpec("incident")
+    for hour, source in enumerate(("one", "two")):
+        log = log_of(spark, ['{"sys_id":"a","%s":"1"}' % source, '{"n":"1"}', "{bad"], source)
+        for _ in range(2):
+            apply_batch(log, 0, target, spec, now=NOW.replace(hour=hour), dead=dead, source=source)
+    before = recs(target.read())
+    assert before["a"] == {"state": "1", "x": "keep", "one": "1", "two": "1"} and len(before) == 3
+    assert sorted(r.topic for r in dead.read(spark).collect()) == ["one", "two"]
+    with pytest.raises(ValueError, match="applied earlier"):
+        target.compact({"two": 0})
+    target.compact({"one": 0})
+    assert recs(target.read()) == before
+    target.compact(0)
+    assert target.included == {"one": 0, "two": 0} and recs(target.read()) == before
+
+
+def test_compacted_batches_are_refused_and_new_checkpoints_kept(spark, folder, target_rows):
+    target, _ = _setup(spark, folder, target_rows)
+    spec = ApplySpec("incident")
+    log = log_of(spark, ['{"n":"1"}', '{"sys_id":"a","state":"7"}'])
+    apply_batch(log, 1, target, spec, now=NOW, source="first")
+    target.compact(1)
+    before = recs(target.read())
+    with pytest.raises(ValueError, match="compacted"):
+        apply_batch(log, 0, target, spec, now=NOW, source="first")
+    apply_batch(log, 0, target, spec, now=NOW.replace(hour=1), source="second")
+    assert target.read().count() == len(before) == 2 and recs(target.read()) == before
+    apply_batch(log_of(spark, ['{"sys_id":"a","state":"8"}']), 1, target, spec, now=NOW.replace(hour=2), source="second")
+    assert recs(target.read())["a"]["state"] == "8"
+
+
 def test_partial_failure_policy(spark, folder, target_rows):
     target, dead = _setup(spark, folder, target_rows)
     spec = ApplySpec("incident", commit_on_partial_failure=False)

@@ -227,6 +227,7 @@ QUERIES = {
     ),
     "fold_patches": Query(_fold(), FOLDED),
     "fold_named_fields": Query(_fold(ORDER_FIELDS), FOLDED),
+    "fold_some_fields": Query(_fold(ORDER_FIELDS[:2]), FOLDED),
     "merge_patches": Query(
         _merge,
         f"""WITH patch AS ({FOLDED}), target AS ({ORDER_RECORDS})

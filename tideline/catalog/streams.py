@@ -14,7 +14,7 @@ from tideline.catalog.messages import ORDERS as ORDER_MESSAGES
 from tideline.operators.apply import record_fields
 from tideline.operators.messages import readable
 from tideline.plans.pull import pull_once
-from tideline.session import scratch_root
+from tideline.session import scratch_root, stage
 from tideline.sinks.logs import FileLog
 from tideline.sinks.targets import DeadLetterTable, RecordTable
 from tideline.sources.logs import stream_files
@@ -23,6 +23,9 @@ from tideline.specs import ApplySpec, PullSettings, TableSpec
 from tideline.streaming.queries import stream_apply, stream_publish
 
 
+SPLIT = "2024-01-16 00:00:00"
+
+
 def _folder(spark) -> str:
     return f"{scratch_root(spark)}/job-{uuid.uuid4().hex}"
 
@@ -71,10 +74,41 @@ def _stream_apply(spark, folder):
     return record_fields(_streamed(spark, folder)[0].read())
 
 
+def _two_topics(spark, folder):
+    """Two topics, one target and one store of dead letters; after a compaction the first topic is read anew."""
+    base = _folder(spark)
+    topic = F.when(F.col("timestamp") < F.lit(SPLIT).cast("timestamp_ntz"), F.lit("early")).otherwise(F.lit("late"))
+    event_log(spark, folder).withColumn("topic", topic).write.parquet(f"{base}/log")
+    target, dead = RecordTable(spark, f"{base}/target"), DeadLetterTable(f"{base}/dead")
+    target.create(_customers(spark, folder))
+
+    def apply(topic: str, checkpoint: str) -> None:
+        log = stream_files(spark, f"{base}/log")
+        stream_apply(
+            log, topic, target, ApplySpec("customers"), f"{base}/{checkpoint}", dead=dead
+        ).awaitTermination()
+
+    apply("early", "first")
+    apply("late", "second")
+    letters = stage(dead.read(spark).groupBy("topic").agg(F.count("*").alias("letters")), "letters")
+    target.compact(0)
+    apply("late", "third")
+    return target, letters
+
+
+def _two_topics_applied(spark, folder):
+    return record_fields(_two_topics(spark, folder)[0].read())
+
+
+def _two_topics_dead(spark, folder):
+    return _two_topics(spark, folder)[1]
+
+
 def _stream_dead(spark, folder):
     return _streamed(spark, folder)[1].read(spark).select("original_payload", "error", "topic", "table", "partition", "offset")
 
 
+BY_HALF = f"""CASE WHEN ts < TIMESTAMP '{SPLIT}' THEN 'early' ELSE 'late' END AS topic"""
 ORDER_MESSAGE_SQL = f"""SELECT 'changes.orders' AS topic, CAST(o_orderkey AS VARCHAR) AS key, {JSON_ORDER} AS value,
   'source_table' AS header_key, 'orders' AS header_value FROM orders"""
 
@@ -91,6 +125,14 @@ QUERIES = {
     "stream_apply": Query(
         _stream_apply, APPLIED.replace("'customers.' || event_type AS topic", "'customers' AS topic")
     ),
+    "stream_apply_two_topics": Query(
+        _two_topics_applied, APPLIED.replace("'customers.' || event_type AS topic", BY_HALF)
+    ),
+    "stream_dead_two_topics": Query(
+        _two_topics_dead,
+        f"""WITH p AS ({PARSED.replace("'customers.' || event_type AS topic", BY_HALF)})
+            SELECT topic, count(*) AS letters FROM ({FAILED}) GROUP BY topic""",
+    ),
     "stream_dead_letters": Query(
         _stream_dead,
         f"""WITH p AS ({PARSED}) SELECT value AS original_payload, reason AS error, 'customers' AS topic,

@@ -65,8 +65,9 @@ def fold_patches(
 
     Both forms combine within each map task first, so the shuffle carries at most
     one value per id, field and task however often an id is patched.  With
-    ``fields`` named, ids are grouped once; otherwise the fields are taken from
-    the patches and grouped before they are put together again.
+    ``fields`` named, their ids are grouped once; other fields are taken from
+    the patches and grouped before they are put together again.  The result is
+    the same with and without ``fields``.
     """
     if fields:
         position = _position(order)
@@ -83,11 +84,15 @@ def fold_patches(
                 for i, name in enumerate(fields)
             ]
         )
-        return (
+        named = (
             patches.groupBy("id")
             .agg(*latest)
             .select("id", F.map_from_entries(F.filter(entries, lambda e: e.isNotNull())).alias("rec"))
         )
+        others = patches.withColumn("rec", F.map_filter("rec", lambda k, v: ~k.isin(*fields)))
+        rest = fold_patches(others.where(F.size("rec") > 0), order).withColumnRenamed("rec", "_rest")
+        both = F.when(F.col("_rest").isNull(), F.col("rec")).otherwise(F.map_concat("rec", "_rest"))
+        return named.join(rest, "id", "left").select("id", both.alias("rec"))
     return (
         _exploded(patches, "id", _position(order).alias("at"))
         .groupBy("id", "field")

@@ -96,28 +96,38 @@ def apply_batch(
     now: datetime,
     dead: DeadLetterTable | None = None,
     metrics_path: str | None = None,
+    source: str | None = None,
 ) -> int:
     """Apply one batch of messages; returns how many failed.
 
+    ``source`` names what numbers the batches, by default the table; batches of
+    different sources never replace each other.  A new row that the target
+    already holds, as after a new checkpoint, is not inserted again.
+
     With ``commit_on_partial_failure`` failures go to ``dead``, if there is one,
     and the batch counts as done.  Without it the rest is applied and the batch
     raises, to be read again; its writes then replace themselves.
     """
+    source = source or spec.table
+    target.accept(batch_id, source)
     held = [parse_log(log, spec.id_field).persist(StorageLevel.MEMORY_AND_DISK)]
     parsed = held[0]
     try:
-        unknown = missing_ids(parsed, target.ids(before=batch_id), held).persist(StorageLevel.MEMORY_AND_DISK)
+        ids = target.ids(before=batch_id, source=source)
+        unknown = missing_ids(parsed, ids, held).persist(StorageLevel.MEMORY_AND_DISK)
         held.append(unknown)
         changes = plan_changes(parsed, unknown, spec)
+        fresh = unknown_ids(changes.inserts.select("id").distinct(), ids)
+        inserts = changes.inserts.join(fresh, "id", "left_semi")
         failed = changes.failed.persist(StorageLevel.MEMORY_AND_DISK)
         held.append(failed)
         failures = failed.count()
         if dead is not None:
-            dead.write(dead_letters(failed, spec.table, now), batch_id)
+            dead.write(dead_letters(failed, spec.table, now), batch_id, source)
         if metrics_path is not None:
-            write_batch(batch_counters(parsed, failed, spec.table), metrics_path, batch_id)
+            write_batch(batch_counters(parsed, failed, spec.table), metrics_path, batch_id, source)
         # last: writing to the target makes Spark drop what it holds of plans that read it
-        target.write_changes(changes.inserts, changes.patches, batch_id)
+        target.write_changes(inserts, changes.patches, batch_id, source, now)
     finally:
         for df in held:
             df.unpersist()

@@ -108,8 +108,8 @@ class TopicRoute:
 class ApplySpec:
     """How a log is applied to one target table.
 
-    ``fields`` names every field the target has and makes folding cheaper; fields
-    outside it are ignored.  Empty means that patches may set any field.
+    ``fields`` names the fields that most patches set and makes folding cheaper;
+    other fields are folded too, by the general way.
     """
 
     table: str

@@ -99,12 +99,23 @@ def stream_apply(
     trigger: dict[str, Any] | None = None,
     clock: Clock = utc_now,
 ) -> StreamingQuery:
-    """Apply the messages of one topic to its target."""
+    """Apply the messages of one topic to its target.
+
+    Several topics may share a target, dead letters and metrics.  Batches are
+    named by topic and by the id that Spark keeps in the checkpoint, so a new
+    checkpoint does not write over the batches of the one before.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, target, spec, now=clock(), dead=dead, metrics_path=metrics_path)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise RuntimeError("the id of the streaming query is not known")
+        source = f"{topic}-{query}"
+        apply_batch(
+            batch, batch_id, target, spec, now=clock(), dead=dead, metrics_path=metrics_path, source=source
+        )
 
     mine = log.where(F.col("topic") == topic)
     return _start(
-        mine.writeStream.foreachBatch(run), f"apply-{spec.table}", checkpoint, trigger or {"availableNow": True}
+        mine.writeStream.foreachBatch(run), f"apply-{spec.table}-{topic}", checkpoint, trigger or {"availableNow": True}
     )
