@@ -122,6 +122,19 @@ def test_stream_resumes_and_repeats_a_failed_batch(spark, folder):
     assert sink.batches[-1] == "t-1" and published(spark, log) == ["a", "b", "c"]
 
 
+def test_older_rows_do_not_move_progress_back(spark, folder):
+    store, log = ProgressStore(spark, f"{folder}/p"), FileLog(f"{folder}/log")
+    ahead = Progress(datetime(2030, 1, 1), "z")
+    store.set("t", ahead)
+    store.flush()
+    rows(spark, "a").write.parquet(f"{folder}/in")
+    landed = spark.readStream.schema(ROWS).parquet(f"{folder}/in")
+    stream_publish(landed, SPEC, store, log, f"{folder}/cp", settings=SETTINGS).awaitTermination()
+    assert published(spark, log) == ["a"] and ProgressStore(spark, f"{folder}/p").get("t") == ahead
+    with pytest.raises(ValueError, match="delay_seconds"):
+        stream_publish(landed, SPEC, store, log, f"{folder}/cp2", settings=PullSettings(delay_seconds=5))
+
+
 def test_polling_follows_a_changing_table(spark, folder):
     store, log = ProgressStore(spark, f"{folder}/p"), FileLog(f"{folder}/log")
     rows(spark, "a").write.parquet(f"{folder}/table")

@@ -20,7 +20,7 @@ from tideline.plans.apply import apply_batch
 from tideline.plans.pull import publish_rows, pull_once
 from tideline.sinks.targets import DeadLetterTable, RecordTable
 from tideline.sources.progress import ProgressStore
-from tideline.specs import DEFAULT_SLOW_INTERVAL, ApplySpec, PullSettings, TableSpec
+from tideline.specs import DEFAULT_INITIAL_HOURS, DEFAULT_SLOW_INTERVAL, ApplySpec, PullSettings, TableSpec
 
 Clock = Callable[[], datetime]
 
@@ -46,14 +46,18 @@ def stream_publish(
     """Publish a stream of changed rows, such as files that land in a folder.
 
     The stream's checkpoint decides what is new; stored progress follows each
-    published batch.
+    published batch, but not to an earlier timestamp.  Settings that limit what
+    a pull reads have no meaning here and raise.
     """
+    if settings.delay_seconds or settings.batch_size or settings.initial_hours != DEFAULT_INITIAL_HOURS:
+        raise ValueError("a stream takes no delay_seconds, batch_size or initial_hours")
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         due = project(batch.where(Clause().is_not_empty(spec.id_col).on(batch)), spec)
         previous = store.get(spec.name)
         result = publish_rows(due, spec, sink, f"{spec.name}-{batch_id}", previous, settings)
-        if result.rows:
+        older = previous.ts and result.progress.ts and result.progress.ts < previous.ts
+        if result.rows and not older:
             store.set(spec.name, result.progress)
             store.flush(spec.name)
 
