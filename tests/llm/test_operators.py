@@ -248,12 +248,13 @@ def test_contamination(spark, odd):
 def test_licences(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this.\nThe above copyright notice and this permission notice shall be included.\nTHE SOFTWARE IS PROVIDED \"AS IS\", so."
     gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License. Either version 2 of the License."
-    texts = [(1, mit), (2, "Copyright (c) me.\nReleased under the MIT License.\nReleased under the MIT License."), (3, None), (4, ""), (5, "No word of it"), (-1, gpl), (6, "Licensed under a strange thing")]
+    texts = [(1, mit), (2, "Copyright (c) me.\nReleased under the MIT License.\nReleased under the MIT License."), (3, None), (4, ""), (5, "No word of it"), (-1, gpl), (6, "Licensed under a strange thing"), (7, "Work: CC  \"BY\" 4.0.")]
     got = {r["doc_id"]: (r["sentence_ids"], r["licences"], r["n_licences"]) for r in licences.recognise(docs_of(spark, texts)).collect()}
     assert got[1] == ("MitGrant,MitNotice,AsIs", "MIT", 1)
     assert got[2] == ("Copyright,MitTitle,MitTitle", "MIT", 1)
     assert got[3] == got[4] == got[5] == ("", "", 0)
     assert got[6] == ("Unknown", "unknown", 1)
+    assert got[7] == ("CcBy", "CC-BY", 1)
     assert got[None][1].startswith("GPL")
     assert licences.recognise(docs_of(spark, [])).collect() == []
 
