@@ -113,6 +113,42 @@ def test_near_copies(spark, odd):
     assert simhash.near_copies(docs_of(spark, [])).collect() == []
 
 
+def plain_copies(texts):
+    """The groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, by brute force."""
+    sets = {}
+    for k, t in texts:
+        words = t.lower().split()
+        sets[k] = {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+    return plain_components(sorted(sets), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9)
+
+
+def test_near_copies_equal_brute_force_over_text_lengths(spark):
+    rng = random.Random(11)
+    texts = []
+    for group in range(150):
+        size = rng.choice([5, 9, 12, 20, 30, 40, 80, 200, 400])
+        base = [f"{rng.choice('abcdef')}{rng.randrange(3000)}" for _ in range(size)]
+        texts.append((10 * group, " ".join(base)))
+        for copy in range(1, 4):
+            words = list(base)
+            for _ in range(rng.randint(1, 1 + size // 45)):
+                at = rng.choice([0, len(words) - 1, rng.randrange(len(words))])
+                words[at : at + 1] = rng.choice([["other"], [], [words[at], "more"]])
+            texts.append((10 * group + copy, " ".join(words)))
+    want = plain_copies(texts)
+    assert sum(k != c for k, c in want.items()) > 150
+    got = {r["node"]: r["component"] for r in simhash.near_copies(docs_of(spark, texts)).collect()}
+    assert got == want
+
+
+def test_near_copies_keep_texts_that_share_a_repeated_line(spark):
+    line = " ".join(["see the terms of use of this site before you copy"] * 60)
+    texts = [(k, f"{prose(500 + k, 300)} {line}") for k in range(12)]
+    assert len(set(plain_copies(texts).values())) == 12
+    got = {r["node"]: r["component"] for r in simhash.near_copies(docs_of(spark, texts)).collect()}
+    assert got == {k: k for k in range(12)}
+
+
 # language and quality
 
 

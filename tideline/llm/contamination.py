@@ -85,12 +85,12 @@ def _spot(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - BITMAP_LOG)).astype(np.int64)
 
 
-def _in(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+def in_bitmap(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     at = _spot(h)
-    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _bitmap(items: DataFrame, column: str) -> np.ndarray:
+def bitmap(items: DataFrame, column: str) -> np.ndarray:
     """The bits of all numbers in an array column: at most 2^18 words come to the driver."""
     bits = items.select(F.explode(column).alias("h")).select(F.shiftrightunsigned("h", 64 - BITMAP_LOG).alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
     words = bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow()
@@ -155,7 +155,7 @@ def find(
     table = item_table(items, words, item_id, text_col)
     classes = sorted(r["class"] for r in table.select("class").distinct().collect())  # powers of two
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((classes, _bitmap(table, "signatures"), _bitmap(table, "shingles")))
+    shared = spark.sparkContext.broadcast((classes, bitmap(table, "signatures"), bitmap(table, "shingles")))
     named = [doc_id, *keep]
     kinds = [docs.schema[c].dataType.simpleString() for c in named]
 
@@ -166,7 +166,7 @@ def find(
             for chunk, h, counts in _shingled(batch.column(0), words):
                 text, sig = [], []
                 for owner, s in window_signatures(h, counts, sizes) if sizes else ():
-                    hit = np.flatnonzero(_in(minima, s))
+                    hit = np.flatnonzero(in_bitmap(minima, s))
                     text.append(owner[hit])
                     sig.append(s[hit])
                 found = np.unique(np.concatenate(text)) if text else np.zeros(0, dtype=np.int64)
@@ -179,7 +179,7 @@ def find(
                     for t in found:
                         signatures.append(np.unique(sig[np.searchsorted(text, t) : np.searchsorted(text, t, side="right")]).view(np.int64))
                         mine = h[ends[t] - counts[t] : ends[t]]
-                        own.append(np.unique(mine[_in(known, mine)]).view(np.int64))
+                        own.append(np.unique(mine[in_bitmap(known, mine)]).view(np.int64))
                     lists = [pa.array(x, pa.list_(pa.int64())) for x in (own, signatures)]
                     rows = pa.array(found + chunk.first)
                     arrays = [pa.array(number + found), *(batch.column(k + 1).take(rows) for k in range(len(named))), *lists]

@@ -14,6 +14,8 @@ Links are found in two steps.  First every fingerprint is compared with the smal
 components of those links hold nearly all of a dense group.  Then fingerprints of different components
 that share a key are compared.  So a group of thousands gives thousands of links, not millions, and
 none between different components is missed.
+
+The near copies of the pipeline (``near_copies``) are linked the same way, but by min-hash keys and the exact similarity.
 """
 
 from __future__ import annotations
@@ -26,10 +28,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm import golay
+from tideline.llm import contamination, golay
 from tideline.llm.frames import map_batches
 from tideline.llm.groups import components
-from tideline.llm.text import LOWER, NOT_SPACE, byte_runs, chunks, mix
+from tideline.llm.text import LOWER, NOT_SPACE, Chunk, byte_runs, chunks, mix
 from tideline.session import stage
 
 SEED = 42
@@ -153,25 +155,22 @@ def _one_combination(a: str, b: str) -> Column:
 def link_components(
     classes: DataFrame,
     near: Callable[[str, str], Column],
-    verify: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(node, component) of classes: ``node`` unique, ``fp``, and what else ``near`` compares, all bigint.
 
-    ``near`` gets the suffixes of the two sides' columns.  ``verify`` gets pairs (a, b) of nodes and
-    returns those that hold.  Nodes without a link are not returned.
+    ``near`` gets the suffixes of the two sides' columns.  Nodes without a link are not returned.
     """
-    verify = verify or (lambda pairs: pairs)
     columns = classes.columns
     lowest = keyed(classes, False).groupBy("key").agg(F.min(F.struct("node", *(c for c in columns if c != "node"))).alias("low"))
     lowest = lowest.select("key", *(F.col(f"low.{c}").alias(f"{c}_a") for c in columns))
     star = _side(keyed(classes, True), "b").join(lowest, "key").where((F.col("node_a") != F.col("node_b")) & near("a", "b"))
-    first = stage(components(verify(star.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())), "groups")
+    first = stage(components(star.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()), "groups")
 
     labelled = classes.join(first.withColumnRenamed("component", "label"), "node", "left")
     labelled = stage(labelled.withColumn("label", F.coalesce("label", "node")), "labelled")
     base, probe = _side(keyed(labelled, False), "a"), _side(keyed(labelled, True), "b")
     rest = probe.join(base, "key").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & near("a", "b") & _one_combination("a", "b"))
-    pairs = verify(rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+    pairs = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     label = labelled.select("node", "label")
     across = pairs.join(label.toDF("a", "x"), "a").join(label.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     second = stage(components(across), "groups")
@@ -206,73 +205,143 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 SIMILARITY = 0.8
-COPY_DISTANCE = 5
-LONG_WORDS = 16
-"""64-bit words of the long fingerprint that candidates are checked by."""
-SHORT_WORDS, SHORT_DISTANCE = 4, 46
-"""So many words of it travel with the keys; pairs at 0.8 differ in 39 of their 256 bits, and in more than 46 once in ten times."""
-TOLERANCE = 0.02
-"""How far an estimate from 1,024 bits may fall short: a bit less than its standard deviation at 0.8."""
-
-
-def _long_fingerprint(h: np.ndarray) -> np.ndarray:
-    return np.array([fingerprint(mix(h ^ np.uint64(k * 0xA0761D6478BD642F % (1 << 64)))) for k in range(LONG_WORDS)], dtype=np.uint64)
-
-
-def _similar(classes: DataFrame, similarity: float) -> Callable[[DataFrame], DataFrame]:
-    """Keeps pairs (a, b) of nodes of ``classes`` (node, size, bits) whose sets of shingles are about that similar.
-
-    The share of differing bits gives the angle between the shingle counts, its cosine and the sizes give the shingles in common.
+BANDS, BAND_ROWS = 32, 5
+"""Keys of a text, and minima in each: two texts at 0.8 share no key three times in a million, since (1 - 0.8^5)^32 is 3e-6."""
+SKETCH_WORDS = -(-BANDS * BAND_ROWS // 64)
+_FACTORS = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(BANDS * BAND_ROWS)], dtype=np.uint64)
+
+
+def band_keys(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, sketch), a row for each run of different shingles that begins at ``starts``: min-hash bands, and one bit of each minimum."""
+    keys = np.zeros((len(starts), BANDS), dtype=np.uint64)
+    bits = np.zeros((len(starts), SKETCH_WORDS * 64), dtype=np.uint8)
+    if len(starts):
+        for k, factor in enumerate(_FACTORS):
+            low = mix(np.minimum.reduceat(h * factor ^ (h >> np.uint64(k % 31 + 1)), starts))
+            bits[:, k] = low & np.uint64(1)
+            band = k // BAND_ROWS
+            keys[:, band] = mix(keys[:, band] + low + np.uint64(k + 1))
+    return keys, np.packbits(bits, axis=1, bitorder="little").view("<u8")
+
+
+def _sets(chunk: Chunk, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shingles, bounds, class): each text's different shingles, sorted, and one number for its whole sequence of words."""
+    h = chunk.hashes()
+    run, owner, _ = chunk.shingles(words, h)
+    order = np.lexsort((run, owner))
+    run, owner = run[order], owner[order]
+    new = np.ones(len(run), dtype=bool)
+    new[1:] = (run[1:] != run[:-1]) | (owner[1:] != owner[:-1])
+    run, owner = run[new], owner[new]
+    count = np.diff(chunk.bounds)
+    place = np.arange(len(h)) - np.repeat(chunk.bounds[:-1], count)
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(mix(h * (2 * place + 1).astype(np.uint64)), dtype=np.uint64)))
+    whole = mix(sums[chunk.bounds[1:]] - sums[chunk.bounds[:-1]] + mix(count.astype(np.uint64)))
+    return run, np.searchsorted(owner, np.arange(chunk.size + 1)), whole
+
+
+def _mark(node: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    return mix(cls ^ mix(node.view(np.uint64)))
+
+
+def _shingle_sets(wanted: DataFrame, needed: DataFrame, words: int) -> DataFrame:
+    """(cls, shingles) of the classes ``needed`` (cls, node, mark), each from the text of its node.
+
+    Texts are read again, so no shingles are kept of those that share no key; a bitmap of 2 MB holds back nearly all others.
     """
-    differing = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    shared = wanted.sparkSession.sparkContext.broadcast(contamination.bitmap(needed.select(F.array("mark").alias("mark")), "mark"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        side = lambda s: classes.select(*(F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "bits"))).withColumnRenamed(f"node_{s}", s)
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
-        common = F.cos(differing("bits_a", "bits_b") * (np.pi / 64 / LONG_WORDS)) * F.sqrt(F.col("size_a") * F.col("size_b"))
-        return both.where(common >= (similarity - TOLERANCE) * (F.col("size_a") + F.col("size_b") - common)).select("a", "b")
+    def build(batch: pa.RecordBatch) -> dict:
+        at, classes, lists = [], [], []
+        node = batch.column(0).to_numpy()
+        for chunk in chunks(batch.column(1), NOT_SPACE):
+            run, bounds, whole = _sets(chunk, words)
+            for k in np.flatnonzero(contamination.in_bitmap(shared.value, _mark(node[chunk.first : chunk.first + chunk.size], whole))):
+                at.append(int(node[chunk.first + k]))
+                classes.append(int(whole[k : k + 1].view(np.int64)[0]))
+                lists.append(run[bounds[k] : bounds[k + 1]].view(np.int64))
+        return {"node": pa.array(at, pa.int64()), "cls": pa.array(classes, pa.int64()), "shingles": pa.array(lists, pa.list_(pa.int64()))}
 
-    return verify
+    found = map_batches(wanted, "node bigint, cls bigint, shingles array<bigint>", build)
+    found = found.join(needed.select("node", "cls"), ["node", "cls"])
+    return stage(found.groupBy("cls").agg(F.any_value("shingles").alias("shingles")), "sets")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """(node, component): for each document, by the integer ids of ``docs``, the smallest id of its group.
 
-    Documents whose shingles of ``words`` words have a Jaccard similarity of at least ``similarity`` are linked.  At 0.8, 64-bit fingerprints
-    over such shingles differ in 10 bits or so, too many for the keys; those over single words differ in two, and in four or
-    fewer for over nine pairs of ten.  So pairs are found by word fingerprints (all up to four bits, and those of five that share a
-    key) and each is checked by fingerprints of 1,024 bits over its shingles.  Texts that are equal once lower-cased and cut into words are
-    one class from the start; texts without a word are one class.  Rows with a null id are left out; repeated ids count once.
+    Documents whose sets of different shingles of ``words`` words have a Jaccard similarity of at least ``similarity`` (0.8 or more) are
+    linked, and no others.  Candidates share one of ``BANDS`` min-hash keys, which depends on the similarity alone and not on the length;
+    every candidate is checked by the exact similarity of the two sets.  Before that, only pairs go whose sizes rule it out, and those
+    whose one-bit minima differ six standard deviations more often than they do at ``similarity``.  Texts that are equal once
+    lower-cased and cut into words are one class from the start; texts without a word are one class.  Rows with a null id are left
+    out; repeated ids count once.
     """
+    if not SIMILARITY <= similarity <= 1:
+        raise ValueError("the keys find pairs at 0.8 and more only")
     wanted = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).alias("text"))
+    short = [f"s{k}" for k in range(SKETCH_WORDS)]
 
     def build(batch: pa.RecordBatch) -> dict:
-        near, whole, size = (np.zeros(batch.num_rows, dtype=np.uint64) for _ in range(3))
-        bits = np.zeros((batch.num_rows, LONG_WORDS), dtype=np.uint64)
+        node = batch.column(0).to_numpy()
+        cls, size = (np.zeros(batch.num_rows, dtype=np.uint64) for _ in range(2))
+        sketch = np.zeros((batch.num_rows, SKETCH_WORDS), dtype=np.uint64)
+        keys = np.zeros((batch.num_rows, BANDS), dtype=np.uint64)
         for chunk in chunks(batch.column(1), NOT_SPACE):
-            h, cuts = chunk.hashes(), chunk.bounds
-            run, owner, _ = chunk.shingles(words, h)
-            runs = np.searchsorted(owner, np.arange(chunk.size + 1))
-            size[chunk.first : chunk.first + chunk.size] = np.diff(runs)
-            for k in range(chunk.size):
-                mine = h[cuts[k] : cuts[k + 1]]
-                near[chunk.first + k] = fingerprint(mine)
-                bits[chunk.first + k] = _long_fingerprint(run[runs[k] : runs[k + 1]])
-                order = np.arange(1, 2 * len(mine), 2, dtype=np.uint64)
-                whole[chunk.first + k] = np.bitwise_xor.reduce(mix(mine * order)) if len(mine) else 0
-        lists = pa.FixedSizeListArray.from_arrays(pa.array(bits.view(np.int64).ravel()), LONG_WORDS).cast(pa.list_(pa.int64()))
-        return {"node": batch.column(0), "fp": near.view(np.int64), "whole": whole.view(np.int64), "size": size.view(np.int64), "bits": lists}
-
-    signed = stage(map_batches(wanted, "node bigint, fp bigint, whole bigint, size bigint, bits array<bigint>", build), "signed")
-    classes = signed.groupBy("fp", "whole").agg(F.min(F.struct("node", "size", "bits")).alias("one")).select("fp", "whole", "one.*")
+            run, bounds, whole = _sets(chunk, words)
+            rows = slice(chunk.first, chunk.first + chunk.size)
+            cls[rows], size[rows] = whole, np.diff(bounds)
+            some = np.flatnonzero(np.diff(bounds))
+            keys[chunk.first + some], sketch[chunk.first + some] = band_keys(run, bounds[some])
+        lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))
+        columns = {n: sketch[:, k].copy().view(np.int64) for k, n in enumerate(short)}
+        return {"node": node, "cls": cls.view(np.int64), "mark": _mark(node, cls).view(np.int64), "size": size.view(np.int64), **columns, "keys": lists}
+
+    schema = ", ".join(["node bigint", "cls bigint", "mark bigint", "size bigint", *(f"{c} bigint" for c in short), "keys array<bigint>"])
+    signed = stage(map_batches(wanted, schema, build), "signed")
+    classes = signed.groupBy("cls").agg(F.min(F.struct("node", "mark", "size", *short, "keys")).alias("one")).select("cls", "one.*")
     classes = stage(classes, "classes")
-    short = [f"b{k}" for k in range(SHORT_WORDS)]
+    compared = ["cls", "size", *short]
+    rows, share = BANDS * BAND_ROWS, (1 - similarity) / 2
+    limit = int(rows * share + 6 * np.sqrt(rows * share * (1 - share)))
 
     def near(a: str, b: str) -> Column:
         differing = sum((F.bit_count(F.col(f"{c}_{a}").bitwiseXOR(F.col(f"{c}_{b}"))) for c in short), F.lit(0))
-        return within(COPY_DISTANCE)(a, b) & (differing <= SHORT_DISTANCE)
+        x, y = F.col(f"size_{a}"), F.col(f"size_{b}")
+        return (differing <= limit) & (F.least(x, y) >= F.greatest(x, y) * similarity - 1e-9)
+
+    def keyed(frame: DataFrame) -> DataFrame:
+        return frame.where(F.col("size") > 0).select(*(c for c in frame.columns if c != "keys"), F.explode("keys").alias("key"))
+
+    # every class against the smallest one under each of its keys
+    own = keyed(classes.select(*compared, "keys"))
+    lowest = own.groupBy("key").agg(F.min(F.struct(*compared)).alias("low"), F.count("*").alias("n")).where("n > 1")
+    lowest = lowest.select("key", *(F.col(f"low.{c}").alias(f"{c}_a") for c in compared))
+    star = _side(own, "b").join(lowest, "key").where("cls_a <> cls_b").select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"), near("a", "b").alias("near"))
+    star = stage(star.distinct(), "star")
+    touched = star.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = _shingle_sets(wanted, stage(classes.select("cls", "node", "mark").join(touched, "cls"), "touched"), words)
 
-    nodes = classes.select("node", "fp", *(F.col("bits")[k].alias(c) for k, c in enumerate(short)))
-    group = link_components(nodes, near, _similar(classes, similarity))
-    group = classes.join(group, "node", "left").select("fp", "whole", F.coalesce("component", "node").alias("component"))
-    return signed.select("node", "fp", "whole").join(stage(group, "groups"), ["fp", "whole"]).select("node", "component").distinct()
+    def verify(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+        both = both.select("a", "b", (F.size("x") + F.size("y")).alias("total"), F.size(F.array_intersect("x", "y")).alias("common"))
+        return both.where(F.col("common") >= (F.col("total") - F.col("common")) * similarity - 1e-9).select("a", "b")
+
+    first = stage(components(verify(star.where("near").select("a", "b"))), "groups")
+
+    # then classes of different components; of every such pair one is not in the component that is most frequent under the key
+    labelled = classes.join(first.toDF("cls", "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    labelled = stage(labelled.select(*compared, "label", "keys"), "labelled")
+    own = keyed(labelled)
+    count = own.groupBy("key", "label").agg(F.count("*").alias("n"))
+    several = count.groupBy("key").agg(F.count("*").alias("labels"), F.max_by("label", "n").alias("most")).where("labels > 1").select("key", "most")
+    mixed = stage(own.join(several, "key"), "mixed")
+    rest = _side(mixed.where("label <> most").drop("most"), "a").join(_side(mixed.drop("most"), "b"), "key").where((F.col("label_a") != F.col("label_b")) & near("a", "b"))
+    pairs = verify(rest.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct())
+    label = labelled.select("cls", "label")
+    across = pairs.join(label.toDF("a", "x"), "a").join(label.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    second = stage(components(across), "groups")
+    group = label.join(second.toDF("label", "component"), "label", "left").select("cls", F.coalesce("component", "label").alias("group"))
+    group = stage(classes.select("cls", "node").join(group, "cls"), "groups")
+    named = group.join(group.groupBy("group").agg(F.min("node").alias("component")), "group").select("cls", "component")
+    return signed.select("node", "cls").join(stage(named, "named"), "cls").select("node", "component").distinct()
