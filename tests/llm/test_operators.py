@@ -281,6 +281,22 @@ def test_contamination(spark, odd):
     assert contamination.find(docs_of(spark, []), table).collect() == []
 
 
+def test_contamination_finds_all_short_items(spark):
+    items = [(k, " ".join(prose(2000 + k, 400).split()[:n])) for k, n in enumerate([5] * 200 + [6, 8, 9, 10, 12] * 8)]
+    items += [(900, "na " * 60), (901, "so it goes on " * 30)]
+    texts = [(10_000 + k, f"{prose(5000 + k, 60)} {' '.join(p for _, p in items[k::12])} {prose(6000 + k, 60)}") for k in range(12)]
+    got = {(r["doc_id"], r["item_id"], r["shared"]) for r in contamination.find(docs_of(spark, texts), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    want = set()
+    for d, t in texts:
+        there = plain_shingles(t)
+        for i, p in items:
+            own = plain_shingles(p)
+            if (shared := len(own & there)) >= math.ceil(len(own) * 0.8 - 1e-9):
+                want.add((d, i, shared))
+    assert len(want) >= len(items)
+    assert got == want
+
+
 def test_licences(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this.\nThe above copyright notice and this permission notice shall be included.\nTHE SOFTWARE IS PROVIDED \"AS IS\", so."
     gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License. Either version 2 of the License."

@@ -4,7 +4,9 @@ Items are partitioned by size: class u holds those with up to u shingles and mor
 document is cut into blocks of u shingles, and every two neighbouring blocks make a window, so that any run of u
 shingles lies in a window whose size is known beforehand.  A containment of 0.8 then is a Jaccard similarity of about
 0.2 or more whatever the length of the document, and of ``PERMUTATIONS`` minima some one is equal for practically all
-such windows.  Pairs found are kept if the shingles of the item that occur anywhere in the document are enough.
+such windows.  Items of class ``FEW`` have no windows: a document that holds enough of one's n shingles holds one of any
+n - ceil(0.8 n) + 1 of them, so that many are its signatures and are looked up as they are.  Pairs found are kept if the
+shingles of the item that occur anywhere in the document are enough.
 
 Two bitmaps of 2 MB, one of the items' minima and one of their shingles, go to all workers whatever the benchmark's
 size; they only keep back what cannot match.
@@ -28,13 +30,14 @@ from tideline.session import stage
 WORDS = 5
 CONTAINMENT = 0.8
 PERMUTATIONS = 32
-SMALLEST_CLASS = 8
+FEW = 8
+"""Items of so many shingles or fewer, and those that mostly repeat themselves, are class ``FEW`` and found exactly."""
 BITMAP_LOG = 24
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(PERMUTATIONS)], dtype=np.uint64)
 
 
 def _size_class(n: int) -> int:
-    return max(SMALLEST_CLASS, 1 << (int(n) - 1).bit_length()) if n else 0
+    return max(FEW, 1 << (int(n) - 1).bit_length()) if n else 0
 
 
 def _signature(minima: np.ndarray, k: int, u: int) -> np.ndarray:
@@ -50,6 +53,12 @@ def _minima(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _few_signatures(own: np.ndarray, containment: float) -> np.ndarray:
+    """Signatures of an item of few different shingles; at least one occurs in every text with so much of the item."""
+    wanted = max(1, int(np.ceil(len(own) * containment - 1e-9)))
+    return _signature(own[: len(own) - wanted + 1], 0, FEW)
+
+
 def _runs(counts: np.ndarray, u: int) -> tuple[np.ndarray, np.ndarray]:
     """(first, number for each text) of runs of ``u``, the last of a text perhaps shorter."""
     many = -(-counts // u)
@@ -59,7 +68,12 @@ def _runs(counts: np.ndarray, u: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_signatures(h: np.ndarray, counts: np.ndarray, classes: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(text, signature) of all windows of texts that have ``counts`` of the shingles ``h``."""
+    """(text, signature) of all shingles, if there are items of few, and all windows of texts that have ``counts`` of the shingles ``h``."""
+    if FEW in classes:
+        yield np.repeat(np.arange(len(counts)), counts), _signature(h, 0, FEW)
+    classes = [u for u in classes if u > FEW]
+    if not classes:
+        return
     least = min(classes)
     starts, many = _runs(counts, least)
     if not len(starts):
@@ -105,7 +119,7 @@ def _shingled(column: pa.Array, words: int) -> Iterator[tuple[Chunk, np.ndarray,
         yield chunk, h, np.bincount(text, minlength=chunk.size)
 
 
-def item_table(items: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+def item_table(items: DataFrame, words: int, containment: float, id_col: str, text_col: str) -> DataFrame:
     """(item, id, size, class, shingles, signatures): one row per item that has a word."""
     kind = items.schema[id_col].dataType.simpleString()
 
@@ -119,8 +133,13 @@ def item_table(items: DataFrame, words: int, id_col: str, text_col: str) -> Data
                     if n:
                         own = np.unique(h[end - n : end])
                         u = _size_class(n)
-                        minima = _minima(own, np.zeros(1, dtype=np.int64))[:, 0]
-                        sig = [int(_signature(minima[p : p + 1], p, u).view(np.int64)[0]) for p in range(PERMUTATIONS)]
+                        if 2 * len(own) <= u:  # repeated shingles: a small part of any window
+                            u = FEW
+                        if u == FEW:
+                            sig = _few_signatures(own, containment).view(np.int64)
+                        else:
+                            minima = _minima(own, np.zeros(1, dtype=np.int64))[:, 0]
+                            sig = [int(_signature(minima[p : p + 1], p, u).view(np.int64)[0]) for p in range(PERMUTATIONS)]
                         rows.append((number + k, chunk.first + k, len(own), u, own.view(np.int64), sig))
                 number += chunk.size
                 if rows:
@@ -152,7 +171,7 @@ def find(
     """
     if doc_id == item_id:
         raise ValueError("the two id columns need different names")
-    table = item_table(items, words, item_id, text_col)
+    table = item_table(items, words, containment, item_id, text_col)
     classes = sorted(r["class"] for r in table.select("class").distinct().collect())  # powers of two
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((classes, bitmap(table, "signatures"), bitmap(table, "shingles")))
