@@ -340,6 +340,20 @@ def test_filter_keeps_counts_within_a_factor_of_two(spark):
     assert (found.counts(others) > 0).mean() < 0.05
 
 
+def test_scores_do_not_depend_on_the_room_for_a_filter(spark, odd, monkeypatch):
+    docs = docs_of(spark, [(k, t) for k, t in odd if k != 7] + [(10 + k, prose(700 + k % 4, 200 + k)) for k in range(12)])
+    taught = docs.where("doc_id <> 9")
+    scores = []
+    for room in (ngram_lm.MAX_BITS, 64):
+        monkeypatch.setattr(ngram_lm, "MAX_BITS", room)
+        model, counts = ngram_lm.train(taught)
+        assert (model.filter is None) == (room == 64)
+        scores.append(sorted(ngram_lm.score(docs, model, counts).collect(), key=str))
+    for one, two in zip(*scores, strict=True):
+        assert one[:4] == two[:4]
+        assert one[4:] == pytest.approx(two[4:])
+
+
 # packing
 
 

@@ -5,23 +5,25 @@ bits of the events (n-gram, 1) to (n-gram, q) in a Bloom filter.  A worker asks
 and so learns c within a factor of two.  The filter is blocked: all bits of an n-gram are in one of 1,024 segments, so
 segments are built where the counts of their n-grams lie, and only bits travel.
 
-The filter has at most ``MAX_BITS`` bits (64 MB), which bounds the broadcast.  If the n-grams of a corpus need more, pairs below a power of two
-are left out of the filter, the smallest that makes the rest fit; words and everything counted exactly stay whole.
+The filter has at most ``MAX_BITS`` bits (64 MB), which bounds the broadcast.  If the n-grams of a corpus need more there is no filter: the
+different n-grams of each piece of text are joined to the counts, and the piece is scored from their levels.  Nothing is left out,
+and scores are the same both ways but for the few levels that a filter finds too high.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.frames import importable, map_batches
-from tideline.llm.text import Chunk, chunks, mix
+from tideline.llm.text import Chunk, byte_runs, chunks, mix
 from tideline.session import stage
 
 MAX_BITS = 1 << 29
@@ -33,6 +35,7 @@ LEVELS = 48
 HEAD_WORDS = 1 << 17
 """Words whose exact counts are broadcast: the most frequent ones, 2 MB.  The others' counts are joined."""
 FLUSH = 4 << 20
+SCORED = ["id", "row", "n_tokens", "n_known", "known", "score", "others"]
 START, END = np.uint64(0x5BD1E995A5A5A5A4), np.uint64(0x27D4EB2F165667C4)
 MEAN_OF_LEVEL = 1.4
 """Counts from 2^(q-1) to 2^q are taken as this times 2^(q-1); a count of one is exact."""
@@ -94,6 +97,11 @@ def _levels(n: np.ndarray) -> np.ndarray:
     return np.frexp(n.astype(float))[1]
 
 
+def _means(level: np.ndarray) -> np.ndarray:
+    out = np.where(level > 0, 2.0 ** (level - 1), 0.0)
+    return np.where(level > 1, out * MEAN_OF_LEVEL, out)
+
+
 @dataclass(frozen=True)
 class Filter:
     """Bits of a blocked Bloom filter."""
@@ -125,8 +133,22 @@ class Filter:
             if not len(asked):
                 break
             level[asked] = q
-        out = np.where(level > 0, 2.0 ** (level - 1), 0.0)
-        return np.where(level > 1, out * MEAN_OF_LEVEL, out)
+        return _means(level)
+
+
+@dataclass(frozen=True)
+class Known:
+    """Levels of some n-grams, sorted by hash; all others were never seen."""
+
+    h: np.ndarray
+    level: np.ndarray
+
+    def counts(self, h: np.ndarray) -> np.ndarray:
+        """About how often each n-gram occurred."""
+        if not len(self.h):
+            return np.zeros(len(h))
+        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        return _means(np.where(self.h[at] == h, self.level[at], 0))
 
 
 def _either(parts: pa.Table) -> pa.Table:
@@ -135,16 +157,12 @@ def _either(parts: pa.Table) -> pa.Table:
     return pa.table({"segment": parts["segment"][:1], "bits": pa.array([bits.tobytes()], pa.binary())})
 
 
-def build_filter(counts: DataFrame) -> Filter:
-    """The filter over all counts; the driver gets one row per power of two, then the bits themselves."""
-    level = F.floor(F.log2("n") + F.lit(1e-9)).cast("int") + 1
-    rows = counts.groupBy((F.col("h") % 2 != 0).alias("pair"), level.alias("level")).agg(F.count("*").alias("n")).collect()
-
-    def events(least: int) -> int:
-        return sum(r["n"] * r["level"] for r in rows if not r["pair"] or r["level"] >= least)
-
-    least = next((q for q in range(1, LEVELS) if events(q) * BITS_PER_EVENT <= MAX_BITS), LEVELS)
-    wanted = max(MIN_BITS, min(MAX_BITS, events(least) * BITS_PER_EVENT))
+def build_filter(counts: DataFrame) -> Filter | None:
+    """The filter over all counts, or none if they need more than ``MAX_BITS``; the driver gets a number, then the bits themselves."""
+    events = counts.agg(F.sum(F.floor(F.log2("n") + F.lit(1e-9)) + 1)).first()[0] or 0
+    if events * BITS_PER_EVENT > MAX_BITS:
+        return None
+    wanted = max(MIN_BITS, events * BITS_PER_EVENT)
     size_log = int(wanted - 1).bit_length()
     block = 1 << (size_log - SEGMENTS_LOG - 3)
 
@@ -153,8 +171,6 @@ def build_filter(counts: DataFrame) -> Filter:
         for batch in batches:
             h, n = (batch.column(k).to_numpy() for k in (0, 1))
             h, q = h.view(np.uint64), _levels(n)
-            keep = ((h & np.uint64(1)) == 0) | (q >= least)
-            h, q = h[keep], q[keep]
             places = []
             for one in range(1, int(q.max()) + 1 if len(q) else 1):
                 places.append(Filter.places(h[q >= one], one, size_log).ravel())
@@ -181,7 +197,7 @@ def build_filter(counts: DataFrame) -> Filter:
 
 @dataclass(frozen=True)
 class Model:
-    filter: Filter
+    filter: Filter | Known | None
     tokens: int
     words: int
     head: np.ndarray
@@ -217,6 +233,63 @@ def train(texts: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame]:
     return Model(build_filter(counts), total["tokens"] or 0, total["words"], h[order], n[order]), counts
 
 
+def _score_chunk(m: Model, ids: pa.Array, row: np.ndarray, chunk: Chunk) -> pa.RecordBatch:
+    """What is known of each text of a chunk, and the words whose exact counts are still to be joined."""
+    word, pair, bounds = _tokens(chunk)
+    at = np.minimum(np.searchsorted(m.head, word), max(len(m.head) - 1, 0))
+    hit = m.head[at] == word if len(m.head) else np.zeros(len(word), dtype=bool)
+    logs = np.where(hit, np.log10(m.head_counts[at] + 1.0), 0.0) if len(m.head) else np.zeros(len(word))
+    other = np.concatenate(([0], np.cumsum(~hit)))[bounds]
+    columns = [
+        ids,
+        pa.array(row),
+        pa.array(np.diff(bounds)),
+        pa.array(np.add.reduceat(hit, bounds[:-1], dtype=np.int64)),
+        pa.array(np.add.reduceat(logs, bounds[:-1])),
+        pa.array(np.add.reduceat(m.score(word, pair, bounds), bounds[:-1])),
+        pa.ListArray.from_arrays(pa.array(other, pa.int32()), pa.array(word[~hit].view(np.int64))),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=SCORED)
+
+
+def _score_joined(texts: DataFrame, kind: str, schema: str, shared: Broadcast, counts: DataFrame) -> DataFrame:
+    """The rows that ``score`` makes with a filter, from the counts themselves.
+
+    Texts are numbered in pieces of a few megabytes and written; each piece asks once for each of its different n-grams.
+    """
+
+    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = piece = TaskContext.get().partitionId() << 36
+        for batch in batches:
+            for lo, _, offsets in byte_runs(batch.column(1)):
+                n = len(offsets) - 1
+                columns = [pa.array(np.full(n, piece)), pa.array(np.arange(row, row + n)), batch.column(0).slice(lo, n), batch.column(1).slice(lo, n)]
+                yield pa.RecordBatch.from_arrays(columns, names=["piece", "row", "id", "text"])
+                row, piece = row + n, piece + 1
+
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            piece = batch.column(0).to_numpy()
+            for a, b in itertools.pairwise((*np.flatnonzero(np.diff(piece, prepend=piece[:1] - 1)), len(piece))):
+                for chunk in chunks(batch.column(1).slice(a, b - a)):
+                    h = np.unique(np.concatenate(_tokens(chunk)[:2]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), piece[a])), pa.array(h.view(np.int64))], names=["piece", "h"])
+
+    def tell(texts: pa.Table, known: pa.Table) -> pa.Table:
+        h, level = known["h"].to_numpy().view(np.uint64), known["level"].to_numpy()
+        h, first = np.unique(h, return_index=True)
+        m = replace(shared.value, filter=Known(h, level[first]))
+        ids, row = texts["id"].combine_chunks(), texts["row"].to_numpy()
+        made = [_score_chunk(m, ids.slice(c.first, c.size), row[c.first : c.first + c.size], c) for c in chunks(texts["text"])]
+        return pa.Table.from_batches(made)
+
+    numbered = stage(texts.mapInArrow(number, f"piece bigint, row bigint, id {kind}, text string"), "numbered")
+    asked = numbered.select("piece", "text").mapInArrow(ask, "piece bigint, h bigint")
+    level = (F.floor(F.log2("n") + F.lit(1e-9)) + 1).cast("bigint")
+    known = asked.join(counts.select("h", level.alias("level")), "h").select("piece", "h", "level")
+    return numbered.groupBy("piece").cogroup(known.groupBy("piece")).applyInArrow(tell, schema)
+
+
 def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_tokens, n_known, train_tokens, base_score, score): one row per row of ``docs``.
 
@@ -226,32 +299,18 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, row bigint, n_tokens bigint, n_known bigint, known double, score double, others array<bigint>"
-    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         numbered = TaskContext.get().partitionId() << 36
         for batch in batches:
             for chunk in chunks(batch.column(1)):
-                word, pair, bounds = _tokens(chunk)
-                at = np.minimum(np.searchsorted(m.head, word), max(len(m.head) - 1, 0))
-                hit = m.head[at] == word if len(m.head) else np.zeros(len(word), dtype=bool)
-                logs = np.where(hit, np.log10(m.head_counts[at] + 1.0), 0.0) if len(m.head) else np.zeros(len(word))
-                other = np.concatenate(([0], np.cumsum(~hit)))[bounds]
-                columns = [
-                    batch.column(0).slice(chunk.first, chunk.size),
-                    pa.array(np.arange(numbered, numbered + chunk.size)),
-                    pa.array(np.diff(bounds)),
-                    pa.array(np.add.reduceat(hit, bounds[:-1], dtype=np.int64)),
-                    pa.array(np.add.reduceat(logs, bounds[:-1])),
-                    pa.array(np.add.reduceat(m.score(word, pair, bounds), bounds[:-1])),
-                    pa.ListArray.from_arrays(pa.array(other, pa.int32()), pa.array(word[~hit].view(np.int64))),
-                ]
+                yield _score_chunk(shared.value, batch.column(0).slice(chunk.first, chunk.size), np.arange(numbered, numbered + chunk.size), chunk)
                 numbered += chunk.size
-                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     importable(docs.sparkSession)
-    scored = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col)).mapInArrow(run, schema), "scored")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = texts.mapInArrow(run, schema) if model.filter else _score_joined(texts, kind, schema, shared, counts)
+    scored = stage(found, "scored")
     rare = counts.where(F.col("h") % 2 == 0)
     if len(model.head) == HEAD_WORDS:
         rare = rare.where(F.col("n") <= int(model.head_counts.min()))
