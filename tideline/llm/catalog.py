@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import contamination, embeddings, html, language, licences, ngram_lm, packing, quality, simhash, urls
+from tideline.llm import (
+    contamination,
+    divergence,
+    embeddings,
+    filter_audit,
+    host_rules,
+    html,
+    language,
+    licences,
+    ngram_lm,
+    packing,
+    quality,
+    simhash,
+    urls,
+)
 from tideline.llm.frames import remainder
 
 
@@ -63,6 +77,20 @@ def op10_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
+def op12_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = host_rules.judge(_table(spark, folder, "documents").select("doc_id", "source", "text"))
+    measures = [f"measures.{m}" for m in host_rules.MEASURES if m != "n_lines"]
+    return judged.select("doc_id", *measures, F.array_contains("failed", "base").alias("base_failed"), "host_rejected", "kept")
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,7 +104,17 @@ QUERIES = {
         op8_ngram_lm,
         op9_packing,
         op10_embeddings,
+        op11_divergence,
+        op12_host_rules,
+        op13_filter_audit,
     )
 }
 
-SQL = {"op3_urls": urls.oracle(), "op5_contamination": contamination.oracle(), "op6_licences": licences.oracle()}
+SQL = {
+    "op3_urls": urls.oracle(),
+    "op5_contamination": contamination.oracle(),
+    "op6_licences": licences.oracle(),
+    "op11_divergence": divergence.oracle(),
+    "op12_host_rules": host_rules.oracle(),
+    "op13_filter_audit": filter_audit.oracle(),
+}
