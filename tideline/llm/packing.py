@@ -31,6 +31,10 @@ END_ID = 1
 FULL_WINDOWS = 1 << 62
 """Sequence ids from here on are full windows of one document; they are unique but not dense."""
 RANK_BITS = 44
+SLICE = 256
+"""Rows with token ids that go out as one Arrow batch."""
+BROADCAST_KEYS = 1 << 20
+"""Up to so many cut remainders (16 bytes each) are named to the tasks that read the token ids; more are joined by a shuffle."""
 
 
 @cache
@@ -145,24 +149,26 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_co
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         encode = encoder(vocabulary)
         small = "<u2" if encode.n_vocab <= 1 << 16 and end_id < 1 << 16 else "<u4"
+        kinds = (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
         for number, batch in enumerate(batches):
-            rows: list[list] = [[] for _ in names[2:]]
+            part = TaskContext.get().partitionId() << 16 | number
             ranks: dict[int, int] = {}
             before = 0
-            for place, text in enumerate(batch.column(1).to_pylist()):
-                ids = np.array([*encode.encode(text or "", allowed_special="all"), end_id], dtype=np.uint32)
-                full = len(ids) // capacity
-                windows = [_crc(ids[k * capacity : (k + 1) * capacity]) for k in range(full)]
-                rest = ids[full * capacity :]
-                rank = ranks[len(rest)] = ranks.get(len(rest), -1) + 1
-                row = (place, len(ids), windows, before, len(rest), rank, _crc(rest), rest.astype(small).tobytes())
-                for column, value in zip(rows, row, strict=True):
-                    column.append(value)
-                before += full
-            part = TaskContext.get().partitionId() << 16 | number
-            kinds = (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            arrays = [pa.array(x, t) for x, t in zip(rows, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(batch.num_rows, part, dtype=np.int64)), *arrays], names=names)
+            for lo in range(0, batch.num_rows, SLICE):
+                some = batch.slice(lo, SLICE)
+                rows: list[list] = [[] for _ in names[2:]]
+                for place, text in enumerate(some.column(1).to_pylist(), lo):
+                    ids = np.array([*encode.encode(text or "", allowed_special="all"), end_id], dtype=np.uint32)
+                    full = len(ids) // capacity
+                    windows = [_crc(ids[k * capacity : (k + 1) * capacity]) for k in range(full)]
+                    rest = ids[full * capacity :]
+                    rank = ranks[len(rest)] = ranks.get(len(rest), -1) + 1
+                    row = (place, len(ids), windows, before, len(rest), rank, _crc(rest), rest.astype(small).tobytes())
+                    for column, value in zip(rows, row, strict=True):
+                        column.append(value)
+                    before += full
+                arrays = [pa.array(x, t) for x, t in zip(rows, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(np.full(some.num_rows, part, dtype=np.int64)), *arrays], names=names)
 
     importable(docs.sparkSession)
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
@@ -260,7 +266,12 @@ def pack(
             crcs.append(_crc(np.frombuffer(ids, dtype=f"<u{len(ids) // n}")[a : a + k]))
         return {**out, "ids_crc32": pa.array(crcs, pa.int64())}
 
-    cut = placed.where("ids_crc32 IS NULL").join(rows.select("part", "place", F.col("ids").alias("remainder"), F.col("length").alias("bytes")), ["part", "place"])
+    cut = placed.where("ids_crc32 IS NULL")
+    keys = stage(cut.select("part", "place").distinct(), "cut")
+    tokens = rows.select("part", "place", F.col("ids").alias("remainder"), F.col("length").alias("bytes"))
+    if keys.count() <= BROADCAST_KEYS:
+        tokens = tokens.join(F.broadcast(keys), ["part", "place"], "left_semi")
+    cut = cut.join(tokens, ["part", "place"])
     cut = map_batches(cut.select(*names, "within", "remainder", "bytes"), f"doc_id {kind}, {PIECE}", checked)
     pieces = full.unionByName(placed.where("ids_crc32 IS NOT NULL").select(*names)).unionByName(cut)
     return pieces.withColumnRenamed("doc_id", id_col)
