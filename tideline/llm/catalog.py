@@ -64,8 +64,7 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op8_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     held_out = remainder("doc_id", 7) == 2
-    model, counts = ngram_lm.train(docs.where(~held_out))
-    scored = ngram_lm.score(docs, model, counts)
+    scored = ngram_lm.score(docs, *ngram_lm.train(docs.where(~held_out)))
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
