@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.frames import map_batches
+from tideline.llm.frames import map_batches, with_columns
 from tideline.llm.text import CHUNK_BYTES, mix
 
 UNKNOWN = "und"
@@ -60,17 +60,20 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(owners), np.concatenate(features)
 
 
+LONGEST_PIECE = 1 << 20
+
+
 def _groups(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
     """(numbers, pieces) of the texts, about a chunk at a time; a very long text comes in several pieces."""
     own: list[int] = []
     some: list[str] = []
-    size, limit = 0, CHUNK_BYTES // 2
+    size = 0
     for k, text in enumerate(texts):
-        for at in range(0, len(text or ""), limit):
+        for at in range(0, len(text or ""), LONGEST_PIECE):
             own.append(k)
-            some.append(text[at : at + limit])
+            some.append(text[at : at + LONGEST_PIECE])
             size += len(some[-1])
-            if size >= limit:
+            if size >= CHUNK_BYTES // 2:
                 yield own, some
                 own, some, size = [], [], 0
     if own:
@@ -200,5 +203,4 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
         own = {n: batch.column(k) for k, n in enumerate(names)}
         return {**own, "lang_pred": pa.array(best, pa.string()), "lang_score": score, "lang_ambiguous": unsure}
 
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields), "lang_pred string, lang_score double, lang_ambiguous boolean"])
-    return map_batches(kept, schema, build)
+    return map_batches(kept, with_columns(kept, "lang_pred string, lang_score double, lang_ambiguous boolean"), build)

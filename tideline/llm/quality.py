@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.frames import map_batches, remainder
+from tideline.llm.frames import map_batches, remainder, with_columns
 from tideline.llm.text import BYTES, Chunk, chunks
 
 SAMPLE_PER_CLASS = 2000
@@ -267,8 +267,7 @@ def assess(docs: DataFrame, model: QualityModel, text_col: str = "text") -> Data
             score[chunk.first : chunk.first + chunk.size] = shared.value.score(lines_of(chunk))
         return {**{n: batch.column(k) for k, n in enumerate(names)}, "quality_score": score}
 
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields), "quality_score double"])
-    return map_batches(kept, schema, build)
+    return map_batches(kept, with_columns(kept, "quality_score double"), build)
 
 
 def held_out(key: str = "doc_id"):  # noqa: ANN201
