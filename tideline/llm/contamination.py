@@ -162,6 +162,7 @@ def find(
     item_id: str = "item_id",
     text_col: str = "text",
     keep: tuple[str, ...] = (),
+    item_text_col: str | None = None,
 ) -> DataFrame:
     """(doc_id, item_id, shared, item_shingles, containment): a row for each document and item it contains, with columns ``keep`` of the document.
 
@@ -171,7 +172,7 @@ def find(
     """
     if doc_id == item_id:
         raise ValueError("the two id columns need different names")
-    table = item_table(items, words, containment, item_id, text_col)
+    table = item_table(items, words, containment, item_id, item_text_col or text_col)
     classes = sorted(r["class"] for r in table.select("class").distinct().collect())  # powers of two
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((classes, bitmap(table, "signatures"), bitmap(table, "shingles")))
