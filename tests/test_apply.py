@@ -3,6 +3,8 @@ from datetime import datetime
 
 import pytest
 from plans import plan
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.operators.apply import (
     dead_letters,
@@ -13,6 +15,7 @@ from tideline.operators.apply import (
     parse_log,
     route_topics,
     to_records,
+    typed_updates,
 )
 from tideline.plans.apply import PartialFailure, apply_batch, apply_log, missing_ids
 from tideline.session import small_side
@@ -324,3 +327,35 @@ def test_small_side_is_measured(spark):
 def test_folding_needs_no_python(spark):
     text = plan(fold_patches(parse_log(log_of(spark, ["{}"]), "sys_id")))
     assert "Python" not in text
+
+
+def test_named_fields_are_folded_in_one_pass(spark, folder):
+    """One scan, the parse of the other form and no join, whatever the fields; the same result."""
+    spark.createDataFrame([(k, f'{{"sys_id":"{k % 3}","a":"{k}","b":null,"c":"x{k}"}}') for k in range(20)], "offset bigint, value string").write.parquet(f"{folder}/log")
+    log = spark.read.parquet(f"{folder}/log").select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), "offset", F.lit(None).cast("timestamp_ntz").alias("timestamp"), "value")
+    updates = parse_log(log, "sys_id")
+
+    def counted(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan.count("FileScan"), plan.count("from_json"), plan.count("Join")
+
+    plain = fold_patches(updates)
+    for fields in (("a",), ("a", "b"), ("a", "b", "c"), ("none", "b")):
+        named = fold_patches(updates, fields=fields)
+        assert counted(named)[0] == 1 and counted(named)[2] == 0
+        assert counted(named)[1] <= counted(plain)[1]
+        assert {r["id"]: r["rec"] for r in named.collect()} == {r["id"]: r["rec"] for r in plain.collect()}
+
+
+def test_values_that_a_type_cannot_hold_are_named(spark):
+    schema = T.StructType.fromDDL("k bigint, price double, day date, note string, flag boolean")
+    rows = [
+        ("1", {"price": "1.5", "day": "2024-02-30"}), ("2", {"price": "many", "flag": "maybe", "note": "n"}),
+        ("3", {"price": None, "day": "2024-02-29", "other": "x"}), ("4", {}), ("5", {"k": "not a key"}), ("6", {"note": ""}),
+    ]
+    updates = spark.createDataFrame(rows, "id string, rec map<string,string>")
+    errors = {r["id"]: r["error"] for r in typed_updates(updates, schema, "k").collect()}
+    start = "updating record {}: no value of the column's type: "
+    assert errors == {
+        "1": start.format(1) + "day = 2024-02-30", "2": start.format(2) + "price = many, flag = maybe", "3": None, "4": None, "5": None, "6": None,
+    }

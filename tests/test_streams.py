@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from tideline.operators.messages import readable
 from tideline.plans.pull import pull_once, run_all
@@ -204,3 +205,55 @@ def test_kafka_options():
     with pytest.raises(ValueError):
         kafka_options("h:9092", [])
     assert KafkaLog("h:9092").options["kafka.acks"] == "all"
+
+
+def _places(log, spark):
+    rows = log.read(spark).select("topic", "partition", "offset", "timestamp", "batch", F.col("value").cast("string").alias("value"))
+    return sorted(tuple(r) for r in rows.collect())
+
+
+def _messages(spark, values, topic="t"):
+    rows = [(topic, None if v.startswith("-") else f"k{v[-1]}".encode(), v.encode(), None) for v in values]
+    return spark.createDataFrame(rows, "topic string, key binary, value binary, headers array<struct<key: string, value: binary>>")
+
+
+def test_a_batch_published_again_keeps_its_places(spark, folder):
+    clock = iter(datetime(2024, 1, d) for d in range(1, 20))
+    log = FileLog(f"{folder}/log", partitions=3, clock=lambda: next(clock))
+    log.publish(_messages(spark, [f"a{k}" for k in range(20)] + ["-n"]), "one")
+    first = _places(log, spark)
+    by_partition = {}
+    for _, p, o, *_ in first:
+        by_partition.setdefault(p, []).append(o)
+    assert all(sorted(o) == list(range(len(o))) for o in by_partition.values()) and len(first) == 21
+    log.publish(_messages(spark, [f"a{k}" for k in range(20)] + ["-n"]), "one")
+    assert _places(log, spark) == first, "places and times"
+    log.publish(_messages(spark, [f"b{k}" for k in range(9)]), "two")
+    both = _places(log, spark)
+    assert [r for r in both if r[4] == "one"] == first
+    assert len({r[:3] for r in both}) == len(both) == 30
+    log.publish(_messages(spark, [f"a{k}" for k in range(20)] + ["-n"]), "one")
+    assert _places(log, spark) == both, "also with a batch behind it"
+    log.publish(_messages(spark, [f"a{k}" for k in range(30)]), "one")
+    grown = _places(log, spark)
+    assert len({r[:3] for r in grown}) == len(grown) == 39, "grown into no other's places"
+    assert [r for r in grown if r[4] == "two"] == [r for r in both if r[4] == "two"]
+
+
+def test_reservations_do_not_grow_with_the_log(spark, folder):
+    from tideline.sinks import logs
+
+    log = FileLog(f"{folder}/log", partitions=1)
+    for k in range(logs.MARK_SLOTS + 3):
+        log.publish(_messages(spark, [f"v{k}", f"w{k}"]), f"batch {k}")
+    log.publish(_messages(spark, ["x"], "other"), "batch 0")
+    assert spark.read.schema(logs.MARK_SCHEMA).parquet(log.marks("t")).count() == logs.MARK_SLOTS
+    offsets = {t: sorted(o for x, _, o, *_ in _places(log, spark) if x == t) for t in ("t", "other")}
+    assert offsets == {"t": list(range(2 * logs.MARK_SLOTS + 6)), "other": [0]}
+
+
+def test_an_empty_batch_takes_no_places(spark, folder):
+    log = FileLog(f"{folder}/log")
+    log.publish(_messages(spark, []), "none")
+    log.publish(_messages(spark, ["a"]), "one")
+    assert [r[2] for r in _places(log, spark)] == [0]

@@ -20,6 +20,7 @@ from tideline.operators.apply import (
     rejected_updates,
     route_topics,
     to_records,
+    typed_updates,
 )
 from tideline.plans.apply import apply_log, missing_ids
 from tideline.session import spread, stage
@@ -166,6 +167,38 @@ def _merge_columns(spark, folder):
     return merge_columns(table(spark, folder, "orders"), "o_orderkey", folded)
 
 
+TYPED_LOG = """
+  SELECT l_shipdate AS t, l_linenumber AS part, l_partkey * 1000000 + l_suppkey AS "offset", CAST(l_orderkey AS VARCHAR) AS id,
+    CASE l_linenumber % 3 WHEN 0 THEN CAST(l_quantity AS VARCHAR) WHEN 1 THEN 'about ' || CAST(l_quantity AS VARCHAR) END AS price,
+    CASE WHEN l_returnflag = 'R' THEN 'soon' ELSE strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') END AS day
+  FROM lineitem"""
+
+
+def _typed(spark, folder):
+    """Line items as patches of typed columns of their order: some prices and days are no numbers and no days, some prices are cleared."""
+    lines = table(spark, folder, "lineitem")
+    number, kind = F.col("l_quantity").cast("string"), F.col("l_linenumber") % 3
+    price = F.when(kind == 0, number).when(kind == 1, _text("about ", number))
+    day = F.when(F.col("l_returnflag") == "R", "soon").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+    updates = lines.select(
+        F.col("l_shipdate").alias("timestamp"),
+        F.col("l_linenumber").alias("partition"),
+        (F.col("l_partkey") * 1000000 + F.col("l_suppkey")).alias("offset"),
+        F.col("l_orderkey").cast("string").alias("id"),
+        F.create_map(F.lit("o_totalprice"), price, F.lit("o_orderdate"), day).alias("rec"),
+    )
+    return typed_updates(updates, table(spark, folder, "orders").schema, "o_orderkey")
+
+
+def _typed_dead(spark, folder):
+    return _typed(spark, folder).where("error IS NOT NULL").select("offset", "id", "error")
+
+
+def _typed_merge(spark, folder):
+    folded = fold_patches(_typed(spark, folder).where("error IS NULL"))
+    return merge_columns(table(spark, folder, "orders"), "o_orderkey", folded)
+
+
 def _parsed(spark, folder):
     return stage(parse_log(event_log(spark, folder), ID), "parsed")
 
@@ -230,10 +263,9 @@ QUERIES = {
     "fold_some_fields": Query(_fold(ORDER_FIELDS[:2]), FOLDED),
     "merge_patches": Query(
         _merge,
-        f"""WITH patch AS ({FOLDED}), target AS ({ORDER_RECORDS})
-            SELECT id, field, val FROM patch WHERE id IN (SELECT id FROM target) UNION ALL
-            SELECT id, field, val FROM target t
-            WHERE NOT EXISTS (SELECT 1 FROM patch WHERE patch.id = t.id AND patch.field = t.field)""",
+        f"""WITH patch AS MATERIALIZED ({FOLDED}), target AS MATERIALIZED ({ORDER_RECORDS})
+            SELECT id, field, val FROM patch SEMI JOIN target USING (id) UNION ALL
+            SELECT id, field, val FROM target ANTI JOIN patch USING (id, field)""",
     ),
     "merge_columns": Query(
         _merge_columns,
@@ -242,6 +274,23 @@ QUERIES = {
             FROM orders LEFT JOIN (SELECT * FROM ({FOLDED}) WHERE field = 'o_orderstatus')
               ON id = CAST(o_orderkey AS VARCHAR)""",
     ),
+    "typed_updates": Query(
+        _typed_dead,
+        f"""WITH p AS ({TYPED_LOG}) SELECT "offset", id, 'updating record ' || id || ': no value of the column''s type: '
+              || concat_ws(', ', CASE WHEN try_cast(price AS DOUBLE) IS NULL THEN 'o_totalprice = ' || price END,
+                CASE WHEN try_cast(day AS TIMESTAMP) IS NULL THEN 'o_orderdate = ' || day END) AS error
+            FROM p WHERE (price IS NOT NULL AND try_cast(price AS DOUBLE) IS NULL) OR try_cast(day AS TIMESTAMP) IS NULL""",
+    ),
+    "typed_merge": Query(
+        _typed_merge,
+        f"""WITH p AS ({TYPED_LOG}), good AS (
+              SELECT *, row_number() OVER (PARTITION BY id ORDER BY t DESC, part DESC, "offset" DESC) AS rn FROM p
+              WHERE (price IS NULL OR try_cast(price AS DOUBLE) IS NOT NULL) AND try_cast(day AS TIMESTAMP) IS NOT NULL)
+            SELECT o_orderkey, o_custkey, o_orderstatus,
+              CASE WHEN id IS NULL THEN o_totalprice ELSE CAST(price AS DOUBLE) END AS o_totalprice,
+              coalesce(CAST(day AS TIMESTAMP), o_orderdate) AS o_orderdate, o_orderpriority
+            FROM orders LEFT JOIN (SELECT * FROM good WHERE rn = 1) ON id = CAST(o_orderkey AS VARCHAR)""",
+    ),
     "insert_ids": Query(
         _inserts,
         f"""WITH p AS ({PARSED}) SELECT {NEW_ID} AS id, f.field AS field, f.val AS val FROM p, unnest([

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from tideline.streaming.queries import stream_apply, stream_publish
 
 
 SPLIT = "2024-01-16 00:00:00"
+FIRST_PULL = datetime(1996, 6, 1)
 
 
 def _folder(spark) -> str:
@@ -48,6 +51,33 @@ def _pull_progress(spark, folder):
     return store.load([ORDER_MESSAGES, waiting]).select("table", "ts", "last_identifier")
 
 
+class _Stopped(FileLog):
+    """A log whose publisher is lost just after the files are there, once."""
+
+    def publish(self, messages, batch):
+        super().publish(messages, batch)
+        if not self.stopped:
+            self.stopped = True
+            raise RuntimeError("publisher lost")
+
+    stopped = False
+
+
+def _round_trip(spark, folder):
+    """Two pulls, the first of them lost after its files were written and made again; the log is then read as a topic and applied."""
+    base = _folder(spark)
+    log, store = _Stopped(f"{base}/log", partitions=4), ProgressStore(spark, f"{base}/progress")
+    orders, settings = table(spark, folder, "orders"), PullSettings(topic_prefix="changes")
+    for now in (FIRST_PULL, FIRST_PULL, ORDERS_NOW):
+        with contextlib.suppress(RuntimeError):
+            pull_once(orders, ORDER_MESSAGES, store, log, now=now, settings=settings)
+    target = RecordTable(spark, f"{base}/target")
+    stream_apply(
+        stream_files(spark, log.path), "changes.orders", target, ApplySpec("orders"), f"{base}/checkpoint"
+    ).awaitTermination()
+    return record_fields(target.read()).where(F.col("field").isin("o_orderkey", "o_orderstatus", "o_orderdate"))
+
+
 def _stream_publish(spark, folder):
     base = _folder(spark)
     sink, store = FileLog(f"{base}/log"), ProgressStore(spark, f"{base}/progress")
@@ -114,6 +144,19 @@ ORDER_MESSAGE_SQL = f"""SELECT 'changes.orders' AS topic, CAST(o_orderkey AS VAR
 
 QUERIES = {
     "pull_once": Query(_pull_once, f"{ORDER_MESSAGE_SQL} WHERE o_orderdate < TIMESTAMP '1998-01-01'"),
+    "file_log_round_trip": Query(
+        _round_trip,
+        """WITH pulled AS (
+             SELECT *, CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 4 AS VARCHAR) AS p
+             FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+           ), placed AS (
+             SELECT *, md5('changes.orders|' || p || '|' || (row_number() OVER (PARTITION BY p ORDER BY o_orderdate, o_orderkey) - 1)) AS id
+             FROM pulled
+           )
+           SELECT id, unnest(['o_orderkey', 'o_orderstatus', 'o_orderdate']) AS field,
+             unnest([CAST(o_orderkey AS VARCHAR), o_orderstatus, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')]) AS val
+           FROM placed""",
+    ),
     "pull_once_progress": Query(
         _pull_progress,
         """SELECT * FROM (SELECT 'orders' AS "table", o_orderdate AS ts, CAST(o_orderkey AS VARCHAR) AS last_identifier

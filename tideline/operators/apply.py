@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tideline.functions.payload import insert_id, last_values, operation, parse_error, parsed_record, record_id
 from tideline.functions.timestamps import naive_utc
+from tideline.specs import RAW_EXCERPT_CHARS
 
 PATCH_TYPE = "map<string,string>"
 LOG_ORDER = ("timestamp", "partition", "offset")
@@ -65,40 +66,40 @@ def fold_patches(
 
     Both forms combine within each map task first, so the shuffle carries at most
     one value per id, field and task however often an id is patched.  With
-    ``fields`` named, their ids are grouped once; other fields are taken from
-    the patches and grouped before they are put together again.  The result is
-    the same with and without ``fields``.
+    ``fields`` named, a patch is one row and not one for each of them; other
+    fields get rows of their own beside it, in the same pass.  The result is the
+    same with and without ``fields``.
     """
-    if fields:
-        position = _position(order)
-        latest = [
-            F.max_by(
-                F.struct(F.col("rec")[name].alias("val")),
-                F.when(F.map_contains_key("rec", F.lit(name)), position),
-            ).alias(f"f{i}")
-            for i, name in enumerate(fields)
-        ]
-        entries = F.array(
-            *[
-                F.when(F.col(f"f{i}").isNotNull(), F.struct(F.lit(name).alias("key"), F.col(f"f{i}.val").alias("value")))
-                for i, name in enumerate(fields)
-            ]
-        )
-        named = (
-            patches.groupBy("id")
-            .agg(*latest)
-            .select("id", F.map_from_entries(F.filter(entries, lambda e: e.isNotNull())).alias("rec"))
+    if not fields:
+        return (
+            _exploded(patches, "id", _position(order).alias("at"))
+            .groupBy("id", "field")
+            .agg(F.max_by("val", "at").alias("val"))
+            .groupBy("id")
+            .agg(F.map_from_entries(F.collect_list(F.struct("field", "val"))).alias("rec"))
         )
-        others = patches.withColumn("rec", F.map_filter("rec", lambda k, v: ~k.isin(*fields)))
-        rest = fold_patches(others.where(F.size("rec") > 0), order).withColumnRenamed("rec", "_rest")
-        both = F.when(F.col("_rest").isNull(), F.col("rec")).otherwise(F.map_concat("rec", "_rest"))
-        return named.join(rest, "id", "left").select("id", both.alias("rec"))
-    return (
-        _exploded(patches, "id", _position(order).alias("at"))
-        .groupBy("id", "field")
-        .agg(F.max_by("val", "at").alias("val"))
-        .groupBy("id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("field", "val"))).alias("rec"))
+    none = F.lit(None).cast("string")
+    named = [F.when(F.map_contains_key("rec", F.lit(f)), F.struct(F.col("rec")[f].alias("val"))) for f in fields]
+    whole = F.struct(none.alias("field"), none.alias("val"), *[v.alias(f"f{i}") for i, v in enumerate(named)])
+    others = F.transform(
+        F.filter(F.map_entries("rec"), lambda e: ~e["key"].isin(*fields)),
+        lambda e: F.struct(
+            e["key"].alias("field"),
+            e["value"].alias("val"),
+            *[F.lit(None).cast("struct<val: string>").alias(f"f{i}") for i in range(len(fields))],
+        ),
+    )
+    rows = patches.select("id", _position(order).alias("at"), F.explode_outer(F.concat(F.array(whole), others)).alias("e"))
+    latest = [F.max_by(F.col(f"e.f{i}"), F.when(F.col(f"e.f{i}").isNotNull(), F.col("at"))).alias(f"f{i}") for i in range(len(fields))]
+    by_field = rows.groupBy("id", F.col("e.field").alias("field")).agg(F.max_by("e.val", "at").alias("val"), *latest)
+    rest = F.collect_list(F.when(F.col("field").isNotNull(), F.struct(F.col("field").alias("key"), F.col("val").alias("value"))))
+    whole = by_field.groupBy("id").agg(rest.alias("rest"), *[F.max(f"f{i}").alias(f"f{i}") for i in range(len(fields))])
+    entries = [
+        F.when(F.col(f"f{i}").isNotNull(), F.struct(F.lit(f).alias("key"), F.col(f"f{i}.val").alias("value")))
+        for i, f in enumerate(fields)
+    ]
+    return whole.select(
+        "id", F.map_from_entries(F.concat(F.filter(F.array(*entries), lambda e: e.isNotNull()), "rest")).alias("rec")
     )
 
 
@@ -115,7 +116,10 @@ def merge_patches(target: DataFrame, folded: DataFrame) -> DataFrame:
 
 
 def merge_columns(target: DataFrame, id_col: str, folded: DataFrame) -> DataFrame:
-    """The same for a typed table: a patched field is cast to its column's type."""
+    """The same for a typed table: a patched field is cast to its column's type.
+
+    A value that the type cannot hold becomes NULL; ``typed_updates`` finds such messages first.
+    """
     patch = folded.select(F.col("id").alias("_id"), F.col("rec").alias("_patch"))
     joined = target.withColumn("_id", F.col(id_col).cast("string")).join(patch, "_id", "left")
     return joined.select(
@@ -130,6 +134,26 @@ def merge_columns(target: DataFrame, id_col: str, folded: DataFrame) -> DataFram
     )
 
 
+def typed_updates(updates: DataFrame, schema: T.StructType, id_col: str) -> DataFrame:
+    """``updates`` with ``error`` for those that set a column of ``schema`` to what its type cannot hold.
+
+    Such a message fails as a whole, like one to a record that does not exist: give those
+    without error to ``fold_patches`` and ``merge_columns``, and the others to
+    ``dead_letters``.  A field that the table does not have changes nothing and is no error.
+    """
+    wrong = [
+        F.when(
+            F.col("rec")[f.name].isNotNull() & F.col("rec")[f.name].try_cast(f.dataType).isNull(),
+            F.concat(F.lit(f"{f.name} = "), F.substring(F.col("rec")[f.name], 1, RAW_EXCERPT_CHARS)),
+        )
+        for f in schema.fields
+        if f.name != id_col
+    ]
+    listed = F.concat_ws(", ", *wrong)
+    reason = F.concat(F.lit("updating record "), F.col("id"), F.lit(": no value of the column's type: "), listed)
+    return updates.withColumn("error", F.when(listed != "", reason))
+
+
 def new_rows(parsed: DataFrame) -> DataFrame:
     """Rows for messages without identifier, each with an id derived from its place in the log."""
     return parsed.where(F.col("operation") == "insert").select(

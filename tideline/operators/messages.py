@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.encode import record_json, table_header, topic_name
@@ -12,13 +12,20 @@ from tideline.functions.keys import message_key
 from tideline.specs import DEFAULT_HEADER, TableSpec
 
 
-def to_messages(df: DataFrame, spec: TableSpec, topic_prefix: str = "", header: str = DEFAULT_HEADER) -> DataFrame:
-    """``(topic, key, value, headers)``, the columns a log writer takes."""
+def to_messages(
+    df: DataFrame,
+    spec: TableSpec,
+    topic_prefix: str = "",
+    header: str = DEFAULT_HEADER,
+    order: Sequence[Column] = (),
+) -> DataFrame:
+    """``(topic, key, value, headers)``, the columns a log writer takes; with ``order`` one more, to sort by."""
     return df.select(
         topic_name(spec.topic, topic_prefix, spec.name).alias("topic"),
         message_key(df.schema, spec).cast("binary").alias("key"),
         record_json(df.schema, precision=spec.precision).cast("binary").alias("value"),
         table_header(spec.name, header).alias("headers"),
+        *([F.struct(*order).alias("order")] if order else []),
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.keys import message_key
-from tideline.operators.incremental import progress_columns, pull
+from tideline.operators.incremental import processing_order, progress_columns, pull
 from tideline.operators.messages import colocate, contiguous, to_messages
 from tideline.sources.progress import ProgressStore
 from tideline.specs import Progress, PullSettings, TableSpec
@@ -41,7 +41,8 @@ def publish_rows(
     seen = Observation(f"{spec.name}-{batch}")
     ts, ident = progress_columns(rows.schema, spec, settings.progress_mode)
     observed = rows.observe(seen, ts.alias("ts"), ident.alias("id"), F.count("*").alias("rows"))
-    sink.publish(to_messages(observed, spec, settings.topic_prefix, settings.header), batch)
+    order = processing_order(rows.schema, spec) if getattr(sink, "takes_order", False) else ()
+    sink.publish(to_messages(observed, spec, settings.topic_prefix, settings.header, order), batch)
     last = seen.get
     found = last.get("rows", 0)
     if not found:
