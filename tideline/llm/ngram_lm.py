@@ -256,7 +256,7 @@ def build_filter(counts: DataFrame) -> tuple[Filter | Segments, float]:
     whole = whole.toArrow()
     for segment, bits in zip(whole["segment"].to_pylist(), whole["bits"].to_pylist(), strict=True):
         out[segment * block : (segment + 1) * block] = np.frombuffer(bits, dtype=np.uint8)
-    return Filter(out, size_log), float(np.unpackbits(out).mean())
+    return Filter(out, size_log), sum(whole["ones"].to_pylist()) / (1 << size_log)
 
 
 @dataclass(frozen=True)
