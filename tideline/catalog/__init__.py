@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tideline.catalog import applying, extraction, filters, measures, messages, streams
+from tideline.catalog import applying, conflicts, extraction, filters, layouts, measures, messages, streams
 from tideline.catalog.base import Query
 
 QUERIES: dict[str, Query] = {
@@ -12,4 +12,6 @@ QUERIES: dict[str, Query] = {
     **applying.QUERIES,
     **measures.QUERIES,
     **streams.QUERIES,
+    **conflicts.QUERIES,
+    **layouts.QUERIES,
 }
