@@ -8,6 +8,8 @@ import re
 import zlib
 
 import numpy as np
+import time
+
 import pytest
 
 from tideline.llm import contamination, embeddings, golay, html, language, licences, ngram_lm, packing, quality, simhash, urls
@@ -246,6 +248,22 @@ def test_main_text():
     assert html.main_text(long) == " ".join(["Word, and word."] * 20_000)
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p>Word, and word.</p><b>" * 20_000, " ".join(["Word, and word."] * 20_000)),
+        ("<div>" * 20_000 + "Word, and word." + "</div>" * 20_000, "Word, and word."),
+        ("<div><span>" * 20_000 + "Word, and word.", "Word, and word."),
+        ("<b>" + "<div>" * 20_000 + "</b>" * 20_000 + "Word, and word.", "Word, and word."),
+    ],
+    ids=("unclosed", "nested", "mixed", "closed in vain"),
+)
+def test_main_text_of_deep_pages_takes_time_in_proportion(page, want):
+    start = time.process_time()
+    assert html.main_text(page) == want
+    assert time.process_time() - start < 5
+
+
 def test_extract(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "t"), (1, None, None, None)], "page_id bigint, url string, html string, text string")
     got = html.extract(pages).collect()

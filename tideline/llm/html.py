@@ -82,12 +82,17 @@ def _unwanted(tag: str, rest: str, inside_article: bool) -> tuple[bool, str]:
 
 
 class _Page:
-    """Text nodes in page order: path, text and block of each."""
+    """Text nodes in page order: path, text and block of each.
+
+    A path is a number; ``parent`` and ``name`` of the paths lead from each to the root, number 0, and a path comes after its parent.
+    """
 
     def __init__(self, html: str) -> None:
-        self.nodes: list[tuple[tuple[str, ...], str, int]] = []
-        self.stack: list[tuple[str, bool]] = []
-        self.path: list[str] = []
+        self.nodes: list[tuple[int, str, int]] = []
+        self.parent, self.name, self.numbers = [0], [""], {}
+        self.stack: list[tuple[str, bool, int]] = []
+        self.places: dict[str, list[int]] = {}
+        self.outer: list[int] = []
         self.block = self.off = self.articles = 0
         at = 0
         for token in TOKEN.finditer(html):
@@ -107,14 +112,29 @@ class _Page:
 
     def text(self, text: str) -> None:
         if not self.off:
-            self.nodes.append((tuple(self.path), unescape(text), self.block))
+            self.nodes.append((self.stack[-1][2] if self.stack else 0, unescape(text), self.block))
+
+    def push(self, tag: str, off: bool, label: str) -> None:
+        above, name = self.stack[-1][2] if self.stack else 0, tag + label
+        path = self.numbers.setdefault((above, name), len(self.name))
+        if path == len(self.name):
+            self.parent.append(above)
+            self.name.append(name)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.outer.append(len(self.stack))
+        self.stack.append((tag, off, path))
+        self.off += off
+        self.articles += tag == "article"
 
     def pop(self) -> None:
-        tag, off = self.stack.pop()
-        self.path.pop()
+        tag, off, _ = self.stack.pop()
+        self.places[tag].pop()
+        if tag not in INLINE:
+            self.outer.pop()
+            self.block += 1
         self.off -= off
         self.articles -= tag == "article"
-        self.block += tag not in INLINE
 
     def open(self, tag: str, rest: str) -> None:
         self.block += tag not in INLINE
@@ -122,22 +142,21 @@ class _Page:
             return
         while self.stack and tag in CLOSED_BY.get(self.stack[-1][0], ()):
             self.pop()
-        if tag in CLOSED_BY["p"] and any(t == "p" for t, _ in self.stack[-4:]) and all(t in INLINE or t == "p" for t, _ in self.stack[-4:][::-1][: self.since("p")]):
+        if tag in CLOSED_BY["p"] and 0 < (up := self.since("p")) <= 4 and all(t in INLINE for t, *_ in self.stack[len(self.stack) - up + 1 :]):
             self.close("p")
         if rest.endswith("/") and tag not in INLINE | CONTAINERS:
             return
         off, label = _unwanted(tag, rest, self.articles > 0)
-        self.stack.append((tag, off))
-        self.path.append(tag + label)
-        self.off += off
-        self.articles += tag == "article"
+        self.push(tag, off, label)
 
     def since(self, tag: str) -> int:
-        return next((k + 1 for k, (t, _) in enumerate(reversed(self.stack)) if t == tag), 0)
+        """How many open elements there are from the innermost ``tag`` on; 0 for none."""
+        places = self.places.get(tag)
+        return len(self.stack) - places[-1] if places else 0
 
     def close(self, tag: str) -> None:
         depth = self.since(tag)
-        if not depth or (tag in INLINE and any(t not in INLINE for t, _ in self.stack[-depth:])):
+        if not depth or (tag in INLINE and self.outer and self.outer[-1] >= len(self.stack) - depth):
             self.block += tag not in INLINE
             return
         for _ in range(depth):
@@ -145,41 +164,49 @@ class _Page:
 
 
 def main_text(html: str | None) -> str:
-    """The article text of one page; empty if there is none."""
-    nodes = _Page(html or "").nodes
-    seen = [(path, text, block, len(text.strip())) for path, text, block in nodes]
-    paths: dict[tuple[str, ...], list[int]] = {}
+    """The article text of one page; empty if there is none.  Time and memory grow with the page, however deep its elements are."""
+    page = _Page(html or "")
+    seen = [(path, text, block, len(text.strip())) for path, text, block in page.nodes]
+    parent, tags = page.parent, [name.partition(".")[0] for name in page.name]
+    totals: dict[int, list[int]] = {}
     for path, text, _, size in seen:
         if size:
-            total = paths.setdefault(path, [0, 0, 0])
+            total = totals.setdefault(path, [0, 0, 0])
             total[0] += size
             total[1] += len(MARKS.findall(text))
             total[2] += 1
-    if not paths:
+    if not totals:
         return ""
-    fused = {path: size / n * (1 + marks / n) for path, (size, marks, n) in paths.items()}
+    fused = {path: size / n * (1 + marks / n) for path, (size, marks, n) in totals.items()}
     filled = [k for k, x in enumerate(seen) if x[3]]
     raw = [fused[seen[k][0]] for k in filled]
     ends = [raw[0], *raw, raw[-1]]
     smooth = [sum(w * v for w, v in zip(WEIGHTS, ends[k : k + 3], strict=True)) for k in range(len(raw))]
     least = SHARE_OF_BEST * max(smooth)
     chosen = {k for k, value, own in zip(filled, smooth, raw, strict=True) if value >= least and own >= least / 2}
-    weight: dict[tuple[str, ...], int] = {}
+    # chosen text under each path, children before parents, and how deep the path is
+    weight, depth = [0] * len(tags), [0] * len(tags)
     for k in chosen:
-        path = seen[k][0]
-        inner = max((d + 1 for d, t in enumerate(path) if t.partition(".")[0] in CONTAINERS), default=0)
-        for d in range(inner + 1):
-            if not d or path[d - 1].partition(".")[0] in CONTAINERS:
-                weight[path[:d]] = weight.get(path[:d], 0) + seen[k][3]
-    whole = weight.get((), 0)
-    root = max((p for p, w in weight.items() if w >= 0.75 * whole), key=len, default=())
-    article = any(t.partition(".")[0] in ("article", "main") for t in root)
-    deep = {seen[k][0][: len(root) + 1] for k in chosen}
-
-    def kept(k: int, path: tuple[str, ...]) -> bool:
-        if path[: len(root)] != root:
-            return False
-        return article or k in chosen or path[: len(root) + 1] in deep or (len(path) > len(root) and path[len(root)].partition(".")[0] not in CONTAINERS)
+        weight[seen[k][0]] += seen[k][3]
+    for path in range(len(tags) - 1, 0, -1):
+        weight[parent[path]] += weight[path]
+    for path in range(1, len(tags)):
+        depth[path] = depth[parent[path]] + 1
+    holders = (p for p in range(len(tags)) if weight[p] >= 0.75 * weight[0] and (not p or tags[p] in CONTAINERS))
+    root = max(holders, key=depth.__getitem__)
+    article, up = False, root
+    while up and not article:
+        article, up = tags[up] in ("article", "main"), parent[up]
+    # the path one below the container that each path lies in; the container is its own, -1 is outside
+    branch = [-1] * len(tags)
+    branch[root] = root
+    for path in range(root + 1, len(tags)):
+        branch[path] = path if parent[path] == root else branch[parent[path]]
+    deep = {branch[seen[k][0]] for k in chosen}
+
+    def kept(k: int, path: int) -> bool:
+        own = branch[path]
+        return own >= 0 and (article or k in chosen or own in deep or (own != root and tags[own] not in CONTAINERS))
 
     blocks: dict[int, list[str]] = {}
     for k, (path, text, block, _) in enumerate(seen):
