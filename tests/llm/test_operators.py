@@ -5,11 +5,10 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
-import time
-
 import pytest
 
 from tideline.llm import contamination, embeddings, golay, html, language, licences, ngram_lm, packing, quality, simhash, urls
@@ -329,6 +328,77 @@ def test_licences(spark):
     assert licences.recognise(docs_of(spark, [])).collect() == []
 
 
+GPL_3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+LGPL_2 = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+BSD_3 = """Copyright (c) 2020, Someone
+All rights are held.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder, Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining
+a copy of this software and associated documentation files, to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be
+included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_licences_wrapped_as_they_usually_are(spark):
+    whole = {"GPL-3.0-or-later": GPL_3, "LGPL-2.1-or-later": LGPL_2, "BSD-3-Clause": BSD_3, "MIT": MIT, "Apache-2.0": APACHE}
+    shapes = [
+        lambda t: t,
+        lambda t: " ".join(t.split()),
+        lambda t: t.replace("\n", "\r\n"),
+        lambda t: "\n".join(f"# {x}".rstrip() for x in t.split("\n")),
+        lambda t: "/*\n" + "\n".join(f" * {x}".rstrip() for x in t.split("\n")) + "\n */",
+        lambda t: f"Some prose before.\n\n{t}\n\nSome prose after.",
+    ]
+    texts = [(k * 10 + n, shape(t)) for k, t in enumerate(whole.values()) for n, shape in enumerate(shapes)]
+    got = {r["doc_id"]: r["licences"] for r in licences.recognise(docs_of(spark, texts)).collect()}
+    assert got == {k * 10 + n: name for k, name in enumerate(whole) for n in range(len(shapes))}
+
+
 # language model
 
 
