@@ -203,6 +203,23 @@ def test_quality(spark, sample, odd):
     assert quality.train(docs, labels.limit(0)).slope == 0.0
 
 
+def test_quality_learns_from_whole_documents_within_its_bound(spark, monkeypatch):
+    good, bad = "This is a line of plain prose, which says something.", "$$$ ### CLICK HERE >>> 123 |||"
+    texts = [(k, "\n".join([good] * 500 + [bad] * 500 if k % 2 else [good] * 1000)) for k in range(40)]
+    texts += [(k, t) for k, t in texts[:4]] + [(99, None), (-1, good)]
+    docs = docs_of(spark, texts)
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(40)] + [(99, 0)], "doc_id bigint, quality int")
+    scores = {r["doc_id"]: r["quality_score"] for r in quality.assess(docs, quality.train(docs, labels)).collect()}
+    assert min(scores[k] for k in range(0, 40, 2)) > max(scores[k] for k in range(1, 40, 2)), "only the second half tells them apart"
+    monkeypatch.setattr(quality, "SAMPLE_LINES", 20_000)
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda lines, label, prior: seen.append((len(lines.weights), sorted(label))) or "model")
+    assert quality.train(docs, labels.where("doc_id <> 99")) == "model"
+    assert seen == [(40_000, [0.0] * 20 + [1.0] * 20)], "rows that repeat count once"
+    monkeypatch.setattr(quality, "SAMPLE_LINES", 19_999)
+    assert quality.train(docs, labels.where("doc_id <> 99")).slope == 0.0, "documents over a twentieth of the bound are not sampled"
+
+
 # URLs and pages
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.frames import map_batches, remainder, with_columns
@@ -20,8 +20,8 @@ from tideline.llm.text import BYTES, Chunk, chunks
 
 SAMPLE_PER_CLASS = 2000
 """Documents of each label that the field is fitted on, those with the smallest hashes."""
-SAMPLE_LINES = 400
-"""Lines of one sampled document that training looks at; scoring looks at all."""
+SAMPLE_LINES = 200_000
+"""Lines of the sampled documents of one label together; documents are taken whole, and those with more than a twentieth of it are not sampled."""
 ROUNDS, STEPS, RATE, PENALTY = 2, 80, 0.08, 1e-3
 
 _UPPER = (BYTES >= 65) & (BYTES <= 90)
@@ -217,9 +217,10 @@ def fit(lines: Lines, label: np.ndarray, prior: float) -> QualityModel:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel:
     """A model from the labelled documents; labels other than 0 and 1 teach nothing.
 
-    The share of label 1 is that of all labelled rows; the field is fitted on ``SAMPLE_PER_CLASS`` documents of each label.  The
-    sample is cut from the labels before any text is read, so the ids that are broadcast are at most twice that.  With no
-    row of one of the labels every text gets the share of label 1 (one half if there are no labels).
+    The share of label 1 is that of all labelled rows; the field is fitted on ``SAMPLE_PER_CLASS`` documents of each label at most, with
+    ``SAMPLE_LINES`` lines together.  The sample is cut from the labels before any text is read, so the ids that are broadcast are at
+    most twice that; of documents with equal ids and texts one counts.  With no row of one of the labels every text gets the share of
+    label 1 (one half if there are no labels).
     """
     marked = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("good")).distinct()
     count = {r["good"]: r["n"] for r in marked.groupBy("good").agg(F.count("*").alias("n")).collect()}
@@ -227,19 +228,28 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     prior = count.get(1, 0) / total if total else 0.5
     part = [marked.where(F.col("good") == g).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_CLASS) for g in (0, 1)]
     sample = F.broadcast(part[0].unionByName(part[1]))
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    named = texts.join(sample, "id").select("good", "id", "text", F.xxhash64("text").alias("mark"))
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
+    sizes = named.select("good", "id", "mark", n_lines.cast("bigint").alias("n_lines")).distinct().where(F.col("n_lines") <= SAMPLE_LINES // 20)
+    order = F.struct(F.xxhash64("id"), "id", "mark")
+    first = [sizes.where(F.col("good") == g).orderBy(order).limit(SAMPLE_PER_CLASS) for g in (0, 1)]  # so the window has few rows
+    before = F.sum("n_lines").over(Window.partitionBy("good").orderBy(order))
+    taken = first[0].unionByName(first[1]).withColumn("before", before).where(F.col("before") <= SAMPLE_LINES)
 
     def build(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"features": [], "weights": []}
-        for chunk in chunks(batch.column(1)):
+        for chunk in chunks(batch.column(3)):
             lines = lines_of(chunk)
             for a, b in zip(lines.bounds[:-1], lines.bounds[1:], strict=True):
-                b = min(b, a + SAMPLE_LINES)
                 out["features"].append(lines.features[a:b].astype(np.float32).tobytes())
                 out["weights"].append(lines.weights[a:b].astype(np.float32).tobytes())
-        return {"good": batch.column(0), **{k: pa.array(v, pa.binary()) for k, v in out.items()}}
+        return {"good": batch.column(0), "id": batch.column(1), "mark": batch.column(2), **{k: pa.array(v, pa.binary()) for k, v in out.items()}}
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(sample, "id").select("good", "text")
-    rows = map_batches(texts, "good int, features binary, weights binary", build).toArrow()
+    chosen = named.join(F.broadcast(taken.select("good", "id", "mark")), ["good", "id", "mark"], "left_semi").select("good", "id", "mark", "text")
+    kind = docs.schema[id_col].dataType.simpleString()
+    found = map_batches(chosen, f"good int, id {kind}, mark bigint, features binary, weights binary", build)
+    rows = found.dropDuplicates(["good", "id", "mark"]).select("good", "features", "weights").toArrow()
     label = np.array(rows["good"].to_pylist(), dtype=float)
     if len(set(label.tolist())) < 2:
         level = float(np.log((prior + 1e-6) / (1 - prior + 1e-6)))
