@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from plans import plan
 from pyspark.sql import functions as F
 
 from tideline.operators.conflicts import ReviewQueue, agreed, differences, field_clocks, newest_wins, system_of_record
@@ -62,6 +63,15 @@ def test_the_system_of_record_tells_null_from_absent(spark):
         system_of_record({"first": first}, {"o": "third"})
 
 
+def test_records_are_shuffled_before_they_are_cut_into_fields(spark):
+    rows = records(spark, k={"a": "1"})
+    text = plan(system_of_record({"first": rows, "second": rows}, {"a": "second"}))
+    assert text.count("Exchange") == 1 and "field#" not in next(x for x in text.splitlines() if "Exchange" in x)
+    updates = rows.selectExpr("id", "rec", "timestamp_ntz'2024-01-01' AS timestamp", "0 AS partition", "0L AS offset")
+    exchanges = [x for x in plan(field_clocks(updates)).splitlines() if "Exchange" in x]
+    assert len(exchanges) == 2 and not any("field#" in x for x in exchanges)
+
+
 def versions(spark):
     base = records(spark, k={"same": "1", "mine": "1", "yours": "1", "both": "1", "apart": "1", "gone": "1"})
     ours = records(spark, k={"same": "1", "mine": "2", "yours": "1", "both": "2", "apart": "2", "gone": None, "new": None})

@@ -28,7 +28,7 @@ def _newest(spark, folder):
     seen = table(spark, folder, "orders").select(
         F.col("o_orderkey").cast("string").alias("id"), (F.col("o_orderdate") + F.expr("INTERVAL 60 DAYS")).alias("at")
     )
-    ours = record_fields(order_records(spark, folder)).join(seen, "id")
+    ours = record_fields(order_records(spark, folder).join(seen, "id"), "at")
     return newest_wins({"orders": ours, "lines": field_clocks(order_updates(spark, folder))})
 
 

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.operators.apply import LOG_ORDER, record_fields
+from tideline.operators.apply import LOG_ORDER, by_fields, fields_of, record_fields
 from tideline.session import stage
 from tideline.sources.progress import create_if_missing
 
@@ -28,10 +28,15 @@ def _united(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def field_clocks(updates: DataFrame, order: Sequence[str] = LOG_ORDER) -> DataFrame:
-    """``(id, field, val, at)``: each field as last set in ``order``, with the first column of ``order`` as its time."""
-    rows = updates.select("id", F.struct(*order).alias("place"), F.explode("rec").alias("field", "val"))
-    last = rows.groupBy("id", "field").agg(F.max_by(F.struct("val", "place"), F.struct("place", "val")).alias("last"))
-    return last.select("id", "field", "last.val", F.col("last.place")[order[0]].alias("at"))
+    """``(id, field, val, at)``: each field as last set in ``order``, with the first column of ``order`` as its time.
+
+    A place in ``order`` belongs to one message.  Of several at one place that set the same fields, the one whose values are greater,
+    compared by name of field, counts as a whole.
+    """
+    last = by_fields(updates, order).groupBy("id", "names").agg(F.max(F.struct("at", "vals")).alias("last"))
+    rows = fields_of(last.select("id", "names", "last.*").repartition("id"), "id", "at")
+    last = rows.groupBy("id", "field").agg(F.max(F.struct("at", "val")).alias("last"))
+    return last.select("id", "field", "last.val", F.col("last.at")[order[0]].alias("at"))
 
 
 def newest_wins(sides: Mapping[str, DataFrame]) -> DataFrame:
@@ -41,11 +46,13 @@ def newest_wins(sides: Mapping[str, DataFrame]) -> DataFrame:
     any with one.  If one side gives a field twice at one time, its greater value counts.
     """
     parts = [
-        fields.select("id", "field", "val", "at", F.lit(name).alias("side"), F.lit(-rank).alias("rank"))
-        for rank, (name, fields) in enumerate(sides.items())
+        fields.select("id", "field", "val", "at", F.lit(-rank).alias("rank"))
+        for rank, (_, fields) in enumerate(sides.items())
     ]
-    newest = F.max_by(F.struct("val", "at", "side"), F.struct("at", "rank", "val")).alias("newest")
-    return _united(parts).groupBy("id", "field").agg(newest).select("id", "field", "newest.*")
+    newest = F.max(F.struct("at", "rank", "val")).alias("newest")  # each value once: the rank tells the side
+    found = _united(parts).groupBy("id", "field").agg(newest)
+    side = F.array(*map(F.lit, sides))[-F.col("newest.rank")]
+    return found.select("id", "field", "newest.val", "newest.at", side.alias("side"))
 
 
 def system_of_record(sources: Mapping[str, DataFrame], owners: Mapping[str, str] | None = None) -> DataFrame:
@@ -58,13 +65,18 @@ def system_of_record(sources: Mapping[str, DataFrame], owners: Mapping[str, str]
     unknown = set(owners.values()) - set(sources)
     if unknown:
         raise ValueError(f"owners that are no sources: {sorted(unknown)}")
-    parts = []
-    for rank, (name, records) in enumerate(sources.items()):
-        own = [field for field, owner in owners.items() if owner == name]
-        first = F.when(F.col("field").isin(own), F.lit(-1)).otherwise(F.lit(rank)) if own else F.lit(rank)
-        parts.append(record_fields(records).select("id", "field", "val", F.lit(name).alias("source"), first.alias("rank")))
-    chosen = F.min_by(F.struct("val", "source"), F.struct("rank", "val")).alias("chosen")
-    return _united(parts).groupBy("id", "field").agg(chosen).select("id", "field", "chosen.*")
+    # whole records are shuffled, by id, and cut into fields there
+    parts = [records.select("id", "rec", F.lit(number).alias("number")) for number, records in enumerate(sources.values())]
+    fields = record_fields(_united(parts).repartition("id"), "number")
+    owned = reduce(
+        lambda rest, entry: rest | ((F.col("field") == entry[0]) & (F.col("number") == list(sources).index(entry[1]))),
+        owners.items(),
+        F.lit(False),
+    )
+    fields = fields.withColumn("rank", F.when(owned, F.lit(-1)).otherwise(F.col("number")))
+    chosen = F.min(F.struct("rank", "val", "number")).alias("chosen")
+    source = F.array(*map(F.lit, sources))[F.col("chosen.number")]
+    return fields.groupBy("id", "field").agg(chosen).select("id", "field", "chosen.val", source.alias("source"))
 
 
 def differences(base: DataFrame, ours: DataFrame, theirs: DataFrame) -> DataFrame:
