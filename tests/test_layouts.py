@@ -1,3 +1,4 @@
+import glob
 import re
 import uuid
 from datetime import datetime, timedelta
@@ -140,6 +141,9 @@ def test_a_running_fold_follows_later_batches_and_restarts(spark, folder):
     assert run() == {("1", "a"): "new", ("1", "b"): "1"}
     messages(spark, (1, 0, 1, '{"sys_id":"1","a":"old","c":null}'), (1, 1, 7, '{"sys_id":"1","b":null}')).write.mode("append").parquet(f"{folder}/log")
     assert run() == {("1", "a"): "new", ("1", "b"): None, ("1", "c"): None}
+    kinds = {name.rsplit(".", 1)[-1] for name in glob.glob(f"{folder}/c/state/0/*/*")}
+    assert "changelog" in kinds and "delta" not in kinds, "state is on disk"
+    assert "spark.sql.streaming.stateStore.providerClass" not in spark.conf.getAll
     assert run() == {("1", "a"): "new", ("1", "b"): None, ("1", "c"): None}
 
 
