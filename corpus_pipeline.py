@@ -50,15 +50,15 @@ def line_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001
     """Of each group of near copies the row with the smallest id stays, of equal ids one of them, a null id last.
 
-    Rows that repeat are copies like any other, also with one id.  Texts without a word are copies of each other.
+    Near copies are texts whose SimHash fingerprints link, as in ``op1_simhash``.  Rows that repeat are copies like any
+    other, also with one id.  Texts without a word are copies of each other.
     """
     rows, (key, text) = plain_names(docs, "doc_id", "text")
     rows = _numbered(rows)
-    group = stage(simhash.near_copies(rows, id_col="row", text_col=text), "near")
-    order = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("id"), F.col("node").alias("row"))
-    members = group.join(rows.select(F.col("row").alias("node"), key), "node")
-    best = members.groupBy("component").agg(F.min(order)["row"].alias("node"))
-    dropped = stage(group.join(best, "node", "left_anti").select(F.col("node").alias("row")), "copies")
+    group = stage(simhash.near_duplicates(rows, id_col="row", text_col=text).select("row", "component_id"), "near")
+    order = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("id"), "row")
+    best = group.join(rows.select("row", key), "row").groupBy("component_id").agg(F.min(order)["row"].alias("row"))
+    dropped = stage(group.select("row").join(best, "row", "left_anti"), "copies")
     return _without(rows, dropped, docs.columns)
 
 

@@ -5,7 +5,7 @@ from compare import connect, difference
 
 import corpus_pipeline
 from tideline.catalog.base import Query
-from tideline.llm import catalog
+from tideline.llm import catalog, simhash
 
 
 @pytest.mark.parametrize("name", sorted(catalog.SQL))
@@ -41,6 +41,12 @@ def test_entry_registers_all():
     assert "pipeline" in entry.queries()
 
 
+def test_near_dedup_keeps_one_row_of_each_group_of_fingerprints(spark, sample):
+    docs = spark.read.parquet(f"{sample}/documents.parquet")
+    kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, sample).collect()}
+    assert kept == {r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+
+
 ODD = "doc_id string, text string, lang string, `my col` string, `a-b` int, row string, c0 string, lang_score double, node string"
 
 

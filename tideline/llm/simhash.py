@@ -15,7 +15,7 @@ components of those links hold nearly all of a dense group.  Then fingerprints o
 that share a key are compared.  So a group of thousands gives thousands of links, not millions, and
 none between different components is missed.
 
-The near copies of the pipeline (``near_copies``) are linked the same way, but by min-hash keys and the exact similarity.
+``near_copies`` links the same way, but by min-hash keys and the exact similarity; the pipeline uses ``near_duplicates``.
 """
 
 from __future__ import annotations
