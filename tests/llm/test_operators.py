@@ -524,6 +524,24 @@ def test_scores_equal_a_plain_model(spark, odd):
     assert got == pytest.approx(want)
 
 
+def test_each_ngram_is_looked_up_once_in_a_text_and_the_head_never(spark, monkeypatch):
+    import pyarrow as pa
+
+    from tideline.llm.text import chunks
+
+    monkeypatch.setattr(ngram_lm, "HEAD_WORDS", 2)
+    model, _, _ = ngram_lm.train(docs_of(spark, [(k, "a a b a") for k in range(20)]))
+    asked, has = [], ngram_lm.Filter.has
+    monkeypatch.setattr(ngram_lm.Filter, "has", lambda self, h, *more: asked.append(h) or has(self, h, *more))
+    chunk = next(chunks(pa.array(["a a b " * 500])))
+    row = ngram_lm._score_chunk(model, pa.array([1]), np.arange(1), chunk)
+    word, pair, _ = ngram_lm._tokens(chunk)
+    looked_up = np.concatenate(asked)
+    assert row.column(2).to_pylist() == [1501]
+    assert len(looked_up) <= ngram_lm.LEVELS * (len(np.unique(pair)) + 2)
+    assert not np.isin(model.head, looked_up).any() and np.isin(np.unique(word)[~np.isin(np.unique(word), model.head)], looked_up).all()
+
+
 # packing
 
 

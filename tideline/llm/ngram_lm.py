@@ -43,6 +43,8 @@ HEAD_WORDS = 1 << 17
 FLUSH = 3 << 20
 ROWS_OUT = 1 << 16
 HELD_SEGMENTS = 256
+SCORE_BYTES = 3 << 19
+"""Text that is scored at once: the more, the more often an n-gram that is looked up once is there again."""
 PIECE_BYTES = 4 << 20
 SCORED = ["id", "row", "n_tokens", "n_known", "known", "score", "others"]
 START, END = np.uint64(0x5BD1E995A5A5A5A4), np.uint64(0x27D4EB2F165667C4)
@@ -169,12 +171,18 @@ class Filter:
         there, (first, step, base) = np.arange(len(h)), _bits(h, level, self.size_log)
         for k in range(probes):
             place = _probe(first, step, base, k, self.size_log) - np.uint64(self.first)
-            found = (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-            there, first, step, base = there[found], first[found], step[found], base[found]
+            found = np.flatnonzero(self.bits[(place >> np.uint64(3)).view(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+            if len(found) < len(there):
+                there, first, step, base = there[found], first[found], step[found], base[found]
         return there
 
     def levels(self, h: np.ndarray) -> np.ndarray:
-        """The level of each n-gram: they are asked for until one is missing."""
+        """The level of each n-gram: each different one is looked up once, in the order of the segments, as memory is slow to read at random."""
+        kinds, own = np.unique(h, return_inverse=True)
+        return self._levels(kinds)[own]
+
+    def _levels(self, h: np.ndarray) -> np.ndarray:
+        """They are asked for until one is missing."""
         out = np.zeros(len(h), dtype=np.int8)
         asked = np.arange(len(h))
         pairs = (h & np.uint64(1)).astype(bool)
@@ -272,23 +280,29 @@ class Model:
 
     def seen(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(at least, at most) how often each word was seen: exact for the head, else the bounds of its level."""
+        return self.bounds(word)[:2]
+
+    def bounds(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What ``seen`` tells, and whether each word is of the head, which is not looked up in the filter."""
         kinds, own = np.unique(word, return_inverse=True)
-        level = self.filter.levels(kinds)
-        least, most = _least(level), _most(level)
+        least, most, exact = np.zeros(len(kinds)), np.zeros(len(kinds)), np.zeros(len(kinds), dtype=bool)
         if len(self.head):
             at = np.minimum(np.searchsorted(self.head, kinds), len(self.head) - 1)
             exact = self.head[at] == kinds
             least[exact] = most[exact] = self.head_counts[at[exact]]
-        return least[own], most[own]
+        level = self.filter.levels(kinds[~exact])
+        least[~exact], most[~exact] = _least(level), _most(level)
+        return least[own], most[own], exact[own]
 
-    def score(self, word: np.ndarray, pair: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    def score(self, least: np.ndarray, most: np.ndarray, pair: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """log10 of each token's probability after the one before: weight * pairs / room + (1 - weight) * alone.
 
+        ``least`` and ``most`` are what ``seen`` tells of the words.
+
         Alone is (c + 1) / (tokens + words + 1) with c rounded down, so over all words and one unknown it sums to 1 at most.  A pair counts
         as the least count of its level less one, which discounts each kind of pair by one at least; room is the context's count rounded up, and
         beside it what chance may add over all words.
         """
-        least, most = self.seen(word)
         before = np.empty_like(most)
         before[1:] = most[:-1]
         before[bounds[:-1]] = max(self.texts, 1)
@@ -326,9 +340,8 @@ def train(texts: DataFrame, text_col: str = "text") -> tuple[Model, Segments | N
 def _score_chunk(m: Model, ids: pa.Array, row: np.ndarray, chunk: Chunk) -> pa.RecordBatch:
     """What is known of each text of a chunk, and the words whose exact counts are still to be joined."""
     word, pair, bounds = _tokens(chunk)
-    at = np.minimum(np.searchsorted(m.head, word), max(len(m.head) - 1, 0))
-    hit = m.head[at] == word if len(m.head) else np.zeros(len(word), dtype=bool)
-    logs = np.where(hit, np.log10(m.head_counts[at] + 1.0), 0.0) if len(m.head) else np.zeros(len(word))
+    least, most, hit = m.bounds(word)
+    logs = np.where(hit, np.log10(least + 1.0), 0.0)
     other = np.concatenate(([0], np.cumsum(~hit)))[bounds]
     columns = [
         ids,
@@ -336,7 +349,7 @@ def _score_chunk(m: Model, ids: pa.Array, row: np.ndarray, chunk: Chunk) -> pa.R
         pa.array(np.diff(bounds)),
         pa.array(np.add.reduceat(hit, bounds[:-1], dtype=np.int64)),
         pa.array(np.add.reduceat(logs, bounds[:-1])),
-        pa.array(np.add.reduceat(m.score(word, pair, bounds), bounds[:-1])),
+        pa.array(np.add.reduceat(m.score(least, most, pair, bounds), bounds[:-1])),
         pa.ListArray.from_arrays(pa.array(other, pa.int32()), pa.array(word[~hit].view(np.int64))),
     ]
     return pa.RecordBatch.from_arrays(columns, names=SCORED)
@@ -410,7 +423,7 @@ def score(docs: DataFrame, model: Model, segments: Segments | None, counts: Data
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbered = TaskContext.get().partitionId() << 36
         for batch in batches:
-            for chunk in chunks(batch.column(1)):
+            for chunk in chunks(batch.column(1), limit=SCORE_BYTES):
                 yield _score_chunk(shared.value, batch.column(0).slice(chunk.first, chunk.size), np.arange(numbered, numbered + chunk.size), chunk)
                 numbered += chunk.size
 
