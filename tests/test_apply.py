@@ -309,6 +309,32 @@ def test_external_target(spark, folder, target_rows):
     assert len(files) == 2 and sorted(line.split()[0] for line in lines) == ["insert", "insert", "patch", "patch"]
 
 
+def test_a_batch_looks_at_its_target_once(spark):
+    looks = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        looks.add(1)
+        return row
+
+    def known():
+        ids = [("a",), ("b",), ("1f21795dc1ebbf9d2104882c481e41d5",)]
+        return spark.createDataFrame(spark.sparkContext.parallelize(ids, 1).map(seen), "id string")
+
+    external = ExternalTable(known, lambda rows: None, writers=1)
+    assert apply_batch(log_of(spark, MIXED), 0, external, ApplySpec("incident"), now=NOW) == 2
+    assert looks.value == 3
+
+
+def test_rows_held_and_new_ones_in_one_batch(spark, folder, target_rows):
+    target, _ = _setup(spark, folder, target_rows)
+    spec = ApplySpec("incident")
+    apply_batch(log_of(spark, ['{"n":"1"}']), 0, target, spec, now=NOW, source="first")
+    again = log_of(spark, ['{"n":"1"}', '{"n":"2"}', '{"sys_id":"a","state":"9"}', "{bad"])
+    assert apply_batch(again.unionByName(again), 0, target, spec, now=NOW.replace(hour=1), source="second") == 2
+    rows = sorted(str(sorted(r.rec.items())) for r in target.read().collect())
+    assert rows == ["[('n', '1')]", "[('n', '2')]", "[('n', '2')]", "[('state', '9'), ('x', 'keep')]"]
+
+
 def test_insert_ids(spark):
     log = spark.createDataFrame([("t", 0, 5, NOW, '{"a":"1"}')], LOG)
     rows, _ = apply_log(log, spark.createDataFrame([], "id string, rec map<string,string>"), ApplySpec("x"))

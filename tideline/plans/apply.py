@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.functions.payload import insert_id
 from tideline.operators.apply import (
     dead_letters,
     fold_patches,
@@ -52,6 +53,35 @@ def missing_ids(parsed: DataFrame, ids: DataFrame, held: list[DataFrame] | None
     return unknown_ids(named, ids, new_rows(parsed))
 
 
+def touched_ids(parsed: DataFrame) -> DataFrame:
+    """``(id, named, new)``: each id of a parsed batch once, whether updates name it and whether it is that of a new row."""
+    added = F.col("operation") == "insert"
+    place = F.when(added, insert_id("topic", "partition", "offset")).otherwise(F.col("id"))
+    known = parsed.where(F.col("operation") != "reject").select(place.alias("id"), added.alias("added"))
+    return known.groupBy("id").agg(F.bool_or(~F.col("added")).alias("named"), F.bool_or("added").alias("new"))
+
+
+def judge_ids(parsed: DataFrame, ids: DataFrame, held: list[DataFrame]) -> DataFrame:
+    """``touched_ids`` with ``known``, whether the target holds the id, in one look at the target.
+
+    A few ids are broadcast, so that a large target is not shuffled.  Persisted, like what is added to ``held``.
+    """
+    touched = touched_ids(parsed).persist(StorageLevel.MEMORY_AND_DISK)
+    held.append(touched)
+    found = ids.join(small_side(touched.select("id"), "id"), "id", "left_semi").distinct()
+    judged = touched.join(found.withColumn("known", F.lit(True)), "id", "left").na.fill(False, ["known"])
+    held.append(judged.persist(StorageLevel.MEMORY_AND_DISK))
+    return judged
+
+
+def only_new(inserts: DataFrame, judged: DataFrame) -> DataFrame:
+    """``inserts`` without rows that the target holds; mostly there are none, and the rows stay where they are."""
+    if judged.where(F.col("new") & F.col("known")).isEmpty():
+        return inserts
+    fresh = judged.where(F.col("new") & ~F.col("known")).select("id")
+    return inserts.join(small_side(fresh, "id"), "id", "left_semi")
+
+
 def plan_changes(parsed: DataFrame, unknown: DataFrame, spec: ApplySpec) -> Changes:
     """Split a parsed batch into inserts, one folded patch per known id, and failures."""
     updates = parsed.where(F.col("operation") == "update")
@@ -114,11 +144,10 @@ def apply_batch(
     parsed = held[0]
     try:
         ids = target.ids(before=batch_id, source=source)
-        unknown = missing_ids(parsed, ids, held).persist(StorageLevel.MEMORY_AND_DISK)
-        held.append(unknown)
-        changes = plan_changes(parsed, unknown, spec)
-        fresh = unknown_ids(changes.inserts.select("id").distinct(), ids)
-        inserts = changes.inserts.join(fresh, "id", "left_semi")
+        judged = judge_ids(parsed, ids, held)
+        unknown = judged.where(F.col("named") & ~F.col("new") & ~F.col("known")).select("id")
+        changes = plan_changes(parsed, small_side(unknown, "id"), spec)
+        inserts = only_new(changes.inserts, judged)
         failed = changes.failed.persist(StorageLevel.MEMORY_AND_DISK)
         held.append(failed)
         failures = failed.count()
