@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from plans import plan
 
 from tideline.llm import contamination, embeddings, golay, html, language, licences, ngram_lm, packing, quality, simhash, urls
 
@@ -108,6 +109,18 @@ def test_near_duplicates(spark, odd):
     assert simhash.near_duplicates(docs_of(spark, [])).collect() == []
 
 
+def test_keys_of_fingerprints_are_not_broadcast(spark, monkeypatch):
+    """Spark does not see that Python makes many rows of one, so it takes the keys of some 100,000 fingerprints for a few MB."""
+    plans, real = [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda links: plans.append(plan(links)) or real(links))
+    texts = [(k, prose(k, 40)) for k in range(30)] + [(30, prose(3, 40) + " more")]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs_of(spark, texts)).collect()}
+    assert len(got) == 31 and len(plans) == 2
+    for links in plans:
+        by_key = [line for line in links.splitlines() if "Join [key#" in line]
+        assert by_key and all("SortMergeJoin" in line for line in by_key)
+
+
 def test_near_copies(spark, odd):
     got = {r["node"]: r["component"] for r in simhash.near_copies(docs_of(spark, odd)).collect()}
     assert got == {1: 1, 2: 1, 4: 1, 3: 3, 5: 3, 9: 3, 6: 6, 7: 7, 8: 8}

@@ -163,13 +163,13 @@ def link_components(
     columns = classes.columns
     lowest = keyed(classes, False).groupBy("key").agg(F.min(F.struct("node", *(c for c in columns if c != "node"))).alias("low"))
     lowest = lowest.select("key", *(F.col(f"low.{c}").alias(f"{c}_a") for c in columns))
-    star = _side(keyed(classes, True), "b").join(lowest, "key").where((F.col("node_a") != F.col("node_b")) & near("a", "b"))
+    star = _side(keyed(classes, True), "b").join(lowest.hint("merge"), "key").where((F.col("node_a") != F.col("node_b")) & near("a", "b"))
     first = stage(components(star.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()), "groups")
 
     labelled = classes.join(first.withColumnRenamed("component", "label"), "node", "left")
     labelled = stage(labelled.withColumn("label", F.coalesce("label", "node")), "labelled")
     base, probe = _side(keyed(labelled, False), "a"), _side(keyed(labelled, True), "b")
-    rest = probe.join(base, "key").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & near("a", "b") & _one_combination("a", "b"))
+    rest = probe.join(base.hint("merge"), "key").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & near("a", "b") & _one_combination("a", "b"))
     pairs = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     label = labelled.select("node", "label")
     across = pairs.join(label.toDF("a", "x"), "a").join(label.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
@@ -317,7 +317,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = keyed(classes.select(*compared, "keys"))
     lowest = own.groupBy("key").agg(F.min(F.struct(*compared)).alias("low"), F.count("*").alias("n")).where("n > 1")
     lowest = lowest.select("key", *(F.col(f"low.{c}").alias(f"{c}_a") for c in compared))
-    star = _side(own, "b").join(lowest, "key").where("cls_a <> cls_b").select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"), near("a", "b").alias("near"))
+    star = _side(own, "b").join(lowest.hint("merge"), "key").where("cls_a <> cls_b").select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"), near("a", "b").alias("near"))
     star = stage(star.distinct(), "star")
     touched = star.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     sets = _shingle_sets(wanted, stage(classes.select("cls", "node", "mark").join(touched, "cls"), "touched"), words)
@@ -335,8 +335,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = keyed(labelled)
     count = own.groupBy("key", "label").agg(F.count("*").alias("n"))
     several = count.groupBy("key").agg(F.count("*").alias("labels"), F.max_by("label", "n").alias("most")).where("labels > 1").select("key", "most")
-    mixed = stage(own.join(several, "key"), "mixed")
-    rest = _side(mixed.where("label <> most").drop("most"), "a").join(_side(mixed.drop("most"), "b"), "key").where((F.col("label_a") != F.col("label_b")) & near("a", "b"))
+    mixed = stage(own.join(several.hint("merge"), "key"), "mixed")
+    rest = _side(mixed.where("label <> most").drop("most"), "a").join(_side(mixed.drop("most"), "b").hint("merge"), "key").where((F.col("label_a") != F.col("label_b")) & near("a", "b"))
     pairs = verify(rest.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct())
     label = labelled.select("cls", "label")
     across = pairs.join(label.toDF("a", "x"), "a").join(label.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
