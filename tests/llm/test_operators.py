@@ -555,6 +555,32 @@ def test_each_ngram_is_looked_up_once_in_a_text_and_the_head_never(spark, monkey
     assert not np.isin(model.head, looked_up).any() and np.isin(np.unique(word)[~np.isin(np.unique(word), model.head)], looked_up).all()
 
 
+def test_a_bucket_of_the_filter_looks_up_once_whoever_asks(monkeypatch):
+    import pyarrow as pa
+
+    rng, size_log = np.random.default_rng(3), 22
+    inner_log = size_log - ngram_lm.segments_log(size_log)
+    h = np.unique(rng.integers(0, 1 << 64, 4000, dtype=np.uint64) >> np.uint64(7) | np.uint64(5 << 57))  # all of one bucket
+    level = rng.integers(2, 9, len(h))
+    bits = np.zeros(1 << size_log, dtype=bool)
+    bits[ngram_lm._events(h[:3000], level[:3000], size_log).astype(np.int64)] = True
+    whole = ngram_lm.Filter(np.packbits(bits, bitorder="little"), size_log)
+    block, first = 1 << (inner_log - 3), 5 << ngram_lm.BUCKET_LOG
+    own = [whole.bits[s * block : (s + 1) * block].tobytes() for s in range(first, first + (1 << ngram_lm.BUCKET_LOG))]
+    held = pa.table({"segment": pa.array(range(first + 7, first - 1, -1), pa.int64()), "bits": pa.array(own[::-1], pa.binary())})
+    runs = [np.sort(rng.choice(h, 50, replace=False)) for _ in range(200)] + [h[:0]]
+    asked = pa.table({"bucket": [5] * 201, "piece": list(range(201)), "h": pa.array([r.view(np.int64) for r in runs], pa.list_(pa.int64()))})
+    want = [whole.levels(r).tobytes() for r in runs]
+    calls, levels = [], ngram_lm.Filter.levels
+    monkeypatch.setattr(ngram_lm.Filter, "levels", lambda self, h: calls.append(len(h)) or levels(self, h))
+    got = ngram_lm._answer(asked, held, size_log)
+    assert got["levels"].to_pylist() == want and got["piece"].to_pylist() == list(range(201))
+    assert calls == [10_000]
+    none = ngram_lm._answer(asked, held.slice(0, 0), size_log)
+    assert set(b"".join(none["levels"].to_pylist())) == {0}, "a bucket without a bit"
+    assert len(ngram_lm._answer(asked.slice(0, 0), held, size_log)) == 0
+
+
 # packing
 
 

@@ -43,6 +43,8 @@ HEAD_WORDS = 1 << 17
 FLUSH = 3 << 20
 ROWS_OUT = 1 << 16
 HELD_SEGMENTS = 256
+BUCKET_LOG = 3
+"""Eight neighbouring segments, 512 KB, answer together: their number times that of the pieces of text is that of the rows asked, so it is kept low."""
 SCORE_BYTES = 3 << 19
 """Text that is scored at once: the more, the more often an n-gram that is looked up once is there again."""
 PIECE_BYTES = 4 << 20
@@ -337,9 +339,9 @@ def train(texts: DataFrame, text_col: str = "text") -> tuple[Model, Segments | N
     return model, made if split else None, counts
 
 
-def _score_chunk(m: Model, ids: pa.Array, row: np.ndarray, chunk: Chunk) -> pa.RecordBatch:
-    """What is known of each text of a chunk, and the words whose exact counts are still to be joined."""
-    word, pair, bounds = _tokens(chunk)
+def _score_chunk(m: Model, ids: pa.Array, row: np.ndarray, chunk: Chunk, tokens: tuple[np.ndarray, ...] | None = None) -> pa.RecordBatch:
+    """What is known of each text of a chunk, and the words whose exact counts are still to be joined; ``tokens`` if its ``_tokens`` are at hand."""
+    word, pair, bounds = tokens or _tokens(chunk)
     least, most, hit = m.bounds(word)
     logs = np.where(hit, np.log10(least + 1.0), 0.0)
     other = np.concatenate(([0], np.cumsum(~hit)))[bounds]
@@ -355,15 +357,30 @@ def _score_chunk(m: Model, ids: pa.Array, row: np.ndarray, chunk: Chunk) -> pa.R
     return pa.RecordBatch.from_arrays(columns, names=SCORED)
 
 
+def _answer(asked: pa.Table, held: pa.Table, size_log: int) -> pa.Table:
+    """(bucket, piece, levels) of the n-grams that pieces ask of one bucket, whose segments are ``held``: all are looked up together."""
+    bucket, runs = asked["bucket"], asked["h"].combine_chunks()
+    inner_log, told = size_log - segments_log(size_log), []
+    if len(bucket):
+        block, first = 1 << (inner_log - 3), bucket[0].as_py() << BUCKET_LOG
+        bits = np.zeros(block << BUCKET_LOG, dtype=np.uint8)
+        for segment, own in zip(held["segment"].to_pylist(), held["bits"].to_pylist(), strict=True):
+            bits[(segment - first) * block : (segment - first + 1) * block] = np.frombuffer(own, dtype=np.uint8)
+        level = Filter(bits, size_log, first << inner_log).levels(runs.flatten().to_numpy().view(np.uint64)).tobytes()
+        ends = np.cumsum(runs.value_lengths().to_numpy()).tolist()
+        told = [level[lo:hi] for lo, hi in itertools.pairwise((0, *ends))]
+    return pa.table([bucket, asked["piece"], pa.array(told, pa.binary())], names=["bucket", "piece", "levels"])
+
+
 def _score_by_segments(texts: DataFrame, kind: str, schema: str, shared: Broadcast, segments: Segments) -> DataFrame:
     """The rows that ``score`` makes with a filter at hand, from segments that stay where they are.
 
     Texts are numbered in pieces of a few megabytes and written.  Each piece asks once for each of its different n-grams: they go
-    to their segments in sorted runs, and only their levels, a byte each, come back.
+    to the buckets of their segments in sorted runs, and only their levels, a byte each, come back.  A bucket looks each n-gram up once,
+    however many pieces ask for it.
     """
     size_log = segments.size_log
-    shift = np.uint64(64 - segments_log(size_log))
-    inner_log = size_log - segments_log(size_log)
+    shift = np.uint64(64 - segments_log(size_log) + BUCKET_LOG)
 
     def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = piece = TaskContext.get().partitionId() << 36
@@ -374,39 +391,31 @@ def _score_by_segments(texts: DataFrame, kind: str, schema: str, shared: Broadca
                 yield pa.RecordBatch.from_arrays(columns, names=["piece", "row", "id", "text"])
                 row, piece = row + n, piece + 1
 
-    def asked_by(texts: pa.Array) -> np.ndarray:
-        return np.unique(np.concatenate([np.unique(np.concatenate(_tokens(c)[:2])) for c in chunks(texts)]))
+    def asked_by(tokens: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+        return np.unique(np.concatenate([np.unique(np.concatenate(t[:2])) for t in tokens]))
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             piece = batch.column(0).to_numpy()
             for a, b in itertools.pairwise((*np.flatnonzero(np.diff(piece, prepend=piece[:1] - 1)), len(piece))):
-                h = asked_by(batch.column(1).slice(a, b - a))
+                h = asked_by(_tokens(c) for c in chunks(batch.column(1).slice(a, b - a)))
                 owner, first = np.unique(h >> shift, return_index=True)
                 runs = pa.ListArray.from_arrays(pa.array(np.append(first, len(h)), pa.int32()), pa.array(h.view(np.int64)))
                 same = pa.array(np.full(len(owner), piece[a]))
-                yield pa.RecordBatch.from_arrays([pa.array(owner.astype(np.int64)), same, runs], names=["segment", "piece", "h"])
-
-    def answer(asked: pa.Table, held: pa.Table) -> pa.Table:
-        segment = asked["segment"]
-        bits = np.frombuffer(held["bits"][0].as_py(), dtype=np.uint8) if len(held) else np.zeros(1 << (inner_log - 3), dtype=np.uint8)
-        told = []
-        if len(segment):
-            some = Filter(bits, size_log, segment[0].as_py() << inner_log)
-            told = [some.levels(h.values.to_numpy().view(np.uint64)).tobytes() for h in asked["h"]]
-        return pa.table([segment, asked["piece"], pa.array(told, pa.binary())], names=["segment", "piece", "levels"])
+                yield pa.RecordBatch.from_arrays([pa.array(owner.astype(np.int64)), same, runs], names=["bucket", "piece", "h"])
 
     def tell(texts: pa.Table, known: pa.Table) -> pa.Table:
-        level = np.frombuffer(b"".join(known.sort_by("segment")["levels"].to_pylist()), dtype=np.int8)
-        m = replace(shared.value, filter=Answers(asked_by(texts["text"]), level))
+        level = np.frombuffer(b"".join(known.sort_by("bucket")["levels"].to_pylist()), dtype=np.int8)
         ids, row = texts["id"].combine_chunks(), texts["row"].to_numpy()
-        made = [_score_chunk(m, ids.slice(c.first, c.size), row[c.first : c.first + c.size], c) for c in chunks(texts["text"])]
+        parts = [(c, _tokens(c)) for c in chunks(texts["text"])]
+        m = replace(shared.value, filter=Answers(asked_by(tokens for _, tokens in parts), level))
+        made = [_score_chunk(m, ids.slice(c.first, c.size), row[c.first : c.first + c.size], c, tokens) for c, tokens in parts]
         return pa.Table.from_batches(made)
 
     numbered = stage(texts.mapInArrow(number, f"piece bigint, row bigint, id {kind}, text string"), "numbered")
-    asked = numbered.select("piece", "text").mapInArrow(ask, "segment bigint, piece bigint, h array<bigint>")
-    held = segments.table.select("segment", "bits")
-    known = asked.groupBy("segment").cogroup(held.groupBy("segment")).applyInArrow(answer, "segment bigint, piece bigint, levels binary")
+    asked = numbered.select("piece", "text").mapInArrow(ask, "bucket bigint, piece bigint, h array<bigint>")
+    held = segments.table.select(F.shiftright("segment", BUCKET_LOG).alias("bucket"), "segment", "bits")
+    known = asked.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(lambda a, b: _answer(a, b, size_log), "bucket bigint, piece bigint, levels binary")
     return numbered.groupBy("piece").cogroup(known.groupBy("piece")).applyInArrow(tell, schema)
 
 
@@ -434,7 +443,7 @@ def score(docs: DataFrame, model: Model, segments: Segments | None, counts: Data
     rare = counts.where(F.col("h") % 2 == 0)
     if len(model.head) == HEAD_WORDS:
         rare = rare.where(F.col("n") <= int(model.head_counts.min()))
-    tail = scored.select("row", F.explode("others").alias("h")).join(rare, "h")
+    tail = scored.select("row", F.explode("others").alias("h")).join(rare.hint("merge"), "h")  # Spark takes the lists for one row each
     tail = tail.groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_known"))
     denominator = float(np.log10(model.tokens + model.words + 1))
     return scored.drop("others").join(tail, "row", "left").select(
