@@ -2,6 +2,7 @@
 
 import pytest
 from compare import connect, difference
+from plans import plan
 
 import corpus_pipeline
 from tideline.catalog.base import Query
@@ -47,6 +48,17 @@ def test_near_dedup_keeps_one_row_of_each_group_of_fingerprints(spark, sample):
     assert kept == {r["component_id"] for r in simhash.near_duplicates(docs).collect()}
 
 
+def test_near_dedup_broadcasts_no_keys(spark, sample, monkeypatch):
+    plans, real = [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda links: plans.append(plan(links)) or real(links))
+    docs = spark.read.parquet(f"{sample}/documents.parquet").where("doc_id < 40")
+    assert 0 < dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, sample).count() <= 40
+    assert len(plans) == 2
+    for links in plans:
+        by_key = [line for line in links.splitlines() if "Join [key#" in line]
+        assert by_key and all("SortMergeJoin" in line for line in by_key), "the keys are many more rows than Spark sees"
+
+
 ODD = "doc_id string, text string, lang string, `my col` string, `a-b` int, row string, c0 string, lang_score double, node string"
 
 
