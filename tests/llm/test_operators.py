@@ -659,3 +659,34 @@ def test_embeddings(spark, monkeypatch):
     assert len(got & want) / len(want) > 0.97
     assert sum(g[1] for g in got) >= 0.97 * near.sum()
     assert embeddings.near_duplicates(table.limit(0)).collect() == []
+
+
+def test_pairs_count_in_the_first_cell_they_share():
+    rng = np.random.default_rng(2)
+    cells = np.full((60, 9), np.iinfo(np.int64).max)
+    for k in range(60):
+        own = np.sort(rng.choice(40, rng.integers(1, 9), replace=False)) - 20
+        cells[k, : len(own)] = own
+    cells[:, 8] = 7  # all are here
+    a, b = np.nonzero(~np.eye(60, dtype=bool))
+    sets = [set(row.tolist()) - {np.iinfo(np.int64).max} for row in cells]
+    want = [min(sets[x] & sets[y]) == 7 for x, y in zip(a, b, strict=True)]
+    assert embeddings._first_meeting(cells, a, b, 7).tolist() == want and 0 < sum(want) < len(want)
+
+
+def test_vectors_are_not_moved_to_split_a_tree(spark, monkeypatch):
+    """A pass over all vectors for each level, with the vectors written each time, does not end on large tables."""
+    monkeypatch.setattr(embeddings, "LEAF", 8)
+    rng, staged, real = np.random.default_rng(8), [], embeddings.stage
+    monkeypatch.setattr(embeddings, "stage", lambda df, label: staged.append((label, df.columns)) or real(df, label))
+    monkeypatch.setattr(embeddings, "LEVELS_AT_ONCE", 3)
+    x = rng.normal(size=(200, 8)).astype(np.float32)
+    table = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)], "vec_id bigint, embedding array<float>, label int")
+    leaf = embeddings.leaves(embeddings._classes(table.select(table.vec_id.alias("id"), table.embedding.alias("raw"), "label")), 0.98, 2)
+    split = [columns for label, columns in staged if label in ("halves", "leaves")]
+    assert len(split) > 4 and not any("vec" in columns for columns in split)
+    assert sum(label == "projected" for label, _ in staged) == -(-sum(label == "cells" for label, _ in staged) // 3)
+    rows = leaf.groupBy("cell").count().collect()
+    assert max(r["count"] for r in rows) <= 8 and leaf.select("node").distinct().count() == 200
+    found = embeddings.near_duplicates(table).orderBy("vec_id").collect()
+    assert [r["vec_id"] for r in found] == list(range(200)) and not any(r["n_links"] for r in found)
