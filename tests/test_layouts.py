@@ -147,6 +147,22 @@ def test_a_running_fold_follows_later_batches_and_restarts(spark, folder):
     assert run() == {("1", "a"): "new", ("1", "b"): None, ("1", "c"): None}
 
 
+def test_a_running_fold_looks_up_one_row_a_patch(spark, folder):
+    def values(last):
+        return ",".join(f'"f{k}":"{last if k < 5 else k}"' for k in range(30))
+
+    rows = [(0, k, k, f'{{"sys_id":"{k % 2}",{values(k)}}}') for k in range(8)]
+    rows += [(1, 0, 50, '{"sys_id":"0","f1":null}'), (1, 1, 60, '{"new":"row"}'), (1, 2, 61, "no json"), (1, 3, 62, '{"sys_id":"5"}')]
+    messages(spark, *rows).write.mode("append").parquet(f"{folder}/log")
+    query = stream_fold(stream_files(spark, f"{folder}/log", 1), f"{folder}/fold", f"{folder}/c", id_field="sys_id")
+    query.awaitTermination()
+    state = [o for p in query.recentProgress for o in p["stateOperators"]]
+    assert 0 < max(o["numRowsTotal"] for o in state) <= 6
+    got = {(r.id, r.field): r.val for r in record_fields(read_fold(spark, f"{folder}/fold")).collect()}
+    assert len(got) == 60 and {i for i, _ in got} == {"0", "1"}
+    assert got["0", "f1"] is None and got["0", "f0"] == "6" and got["1", "f4"] == "7" and got["1", "f29"] == "29"
+
+
 def test_messages_twice_and_too_late(spark, folder):
     first = messages(spark, (0, 0, 100, "a"), (0, 1, 99, "b"), (0, 0, 100, "a"))
     second = messages(spark, (0, 1, 99, "b"), (0, 2, 98, "c"))
